@@ -18,6 +18,8 @@ def rank_descending(df: DataFrame, value: str, out: str) -> DataFrame:
     task or are broadcast. The banding steers the distribution only: any monotone function gives the same rank.
     """
     band = F.floor(F.signum(value) * F.log2(F.abs(value) + F.lit(1.0)) * BANDS_PER_DOUBLING)
+    # Never NULL, so the joins add no IsNotNull filters and both uses of the counts share one exchange.
+    band = F.coalesce(band, F.lit(0).cast("bigint"))
     counts = df.groupBy(value).agg(F.count("*").alias("_n")).withColumn("_band", band)
     preceding = (Window.unboundedPreceding, -1)
 

@@ -51,7 +51,7 @@ def adviser_ltv_from_values(
     longest = ltv_column(max(windows))
     sums = values.groupBy(F.col(adviser).alias("adviser_id")).agg(
         F.count("*").alias("client_count"),
-        *[F.sum(c).alias(c) for c in ltv_columns(windows)],
+        *[F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in ltv_columns(windows)],
     )
     ranked = rank_descending(sums, longest, f"rank_by_{longest}")
     return ranked.select(

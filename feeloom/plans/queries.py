@@ -28,9 +28,11 @@ def _staged(spark: SparkSession, sf_dir: str, variant: str = "raw") -> DataFrame
     return staging.stage_fees(fee_ledger(spark, sf_dir, variant))
 
 
-def _client_tables(fees: DataFrame, windows=(1, 3, 6)) -> tuple[DataFrame, DataFrame]:
-    dimension = clients.client_dimension(fees)
-    return dimension, clients.client_ltv(fees, dimension, windows)
+def _client_tables(fees: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dimension and lifetime values in one plan. Without a written dimension to read back, the single-pass form
+    saves computing the dimension twice.
+    """
+    return clients.client_dimension(fees), clients.client_ltv_single_pass(fees)
 
 
 def _build(spark: SparkSession, sf_dir: str, variant: str) -> dict[str, DataFrame]:
@@ -67,7 +69,8 @@ def dim_clients(spark, sf_dir):
 
 
 def client_ltv(spark, sf_dir):
-    return _client_tables(_staged(spark, sf_dir))[1]
+    fees = _staged(spark, sf_dir)
+    return clients.client_ltv(fees, clients.client_dimension(fees))
 
 
 def client_ltv_single_pass(spark, sf_dir):
@@ -75,7 +78,8 @@ def client_ltv_single_pass(spark, sf_dir):
 
 
 def client_ltv_yearly(spark, sf_dir):
-    return _client_tables(_staged(spark, sf_dir), windows=(12, 24))[1]
+    fees = _staged(spark, sf_dir)
+    return clients.client_ltv(fees, clients.client_dimension(fees), windows=(12, 24))
 
 
 def client_ltv_events(spark, sf_dir):

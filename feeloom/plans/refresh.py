@@ -25,7 +25,7 @@ from feeloom.schemas import (
 )
 from feeloom.sinks.tables import overwrite_table, table_report, upsert_by_partition
 from feeloom.sources.csv_files import read_fees_csv, require_not_null
-from feeloom.sources.tables import high_water_mark, read_table, table_exists, table_path
+from feeloom.sources.tables import newest_partition, read_table, table_exists, table_path
 
 
 @dataclass(frozen=True)
@@ -60,9 +60,10 @@ class Warehouse:
         }
         return read_table(spark, self.path(model), schemas.get(model))
 
-    def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
-        """Every table, keyed as run_checks() expects."""
-        return {"raw_fees" if m == "fees" else m: self.read(spark, m) for m in self.LAYERS}
+    def tables(self, spark: SparkSession, **known: DataFrame) -> dict[str, DataFrame]:
+        """Every table, keyed as run_checks() expects; ``known`` are frames already read (and listed)."""
+        models = {"raw_fees" if m == "fees" else m: m for m in self.LAYERS}
+        return {name: known[name] if name in known else self.read(spark, m) for name, m in models.items()}
 
 
 def ingest_fees(spark: SparkSession, glob: str, store: Warehouse) -> DataFrame:
@@ -77,13 +78,16 @@ def ingest_fees(spark: SparkSession, glob: str, store: Warehouse) -> DataFrame:
     return table_report(spark, store.path("fees"), "raw.fees")
 
 
-def build_staging(spark: SparkSession, store: Warehouse, full_refresh: bool = False) -> None:
+def build_staging(
+    spark: SparkSession, store: Warehouse, full_refresh: bool = False, raw: DataFrame | None = None
+) -> None:
     """First run or full refresh: rebuild staging. Otherwise upsert the rows since the lookback bound."""
-    raw, path = store.read(spark, "fees"), store.path("stg_fees")
+    raw = store.read(spark, "fees") if raw is None else raw
+    path = store.path("stg_fees")
     if full_refresh or not table_exists(spark, path):
         overwrite_table(stage_fees(raw), path, ["fee_date"], store.cluster_by)
         return
-    bound = high_water_mark(store.read(spark, "stg_fees"))
+    bound = newest_partition(spark, path)
     recent = stage_fees(raw, bound, store.lookback_days)
     upsert_by_partition(spark, path, recent, schema=STAGED_SCHEMA, cluster_by=store.cluster_by)
 
@@ -96,9 +100,9 @@ def backfill_staging(spark: SparkSession, store: Warehouse, start: dt.date, end:
     )
 
 
-def build_reports(spark: SparkSession, store: Warehouse) -> None:
+def build_reports(spark: SparkSession, store: Warehouse, fees: DataFrame | None = None) -> None:
     """Rebuild the reporting tables from staging. Each table is written and read back, as its readers see it."""
-    fees = store.read(spark, "stg_fees")
+    fees = store.read(spark, "stg_fees") if fees is None else fees
     overwrite_table(client_dimension(fees), store.path("dim_clients"))
     clients = store.read(spark, "dim_clients")
     overwrite_table(client_ltv(fees, clients, store.windows), store.path("rpt_client_ltv"))
@@ -128,8 +132,10 @@ def run_refresh(
         if glob is None:
             raise ValueError("a file glob is needed unless skip_ingest is set")
         ingest_fees(spark, glob, store)
-    build_staging(spark, store, full_refresh)
-    build_reports(spark, store)
+    raw = store.read(spark, "fees")
+    build_staging(spark, store, full_refresh, raw)
+    fees = store.read(spark, "stg_fees")
+    build_reports(spark, store, fees)
     if skip_tests:
         return None
-    return enforce(run_checks(store.tables(spark), store.windows))
+    return enforce(run_checks(store.tables(spark, raw_fees=raw, stg_fees=fees), store.windows))

@@ -35,6 +35,7 @@ def local_session(app: str = "feeloom", cores: int | str = 8, **extra: str) -> S
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

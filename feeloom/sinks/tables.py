@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from feeloom.sources.files import hadoop_path, size_on_disk
-from feeloom.sources.tables import read_table, table_exists
+from feeloom.sources.tables import read_partitions, read_table, table_exists
 
 
 class AmbiguousUpsert(ValueError):
@@ -28,6 +29,29 @@ def _laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
     return df
 
 
+# Below this many shuffle partitions, merging the small ones saves less than writing their files in turn costs.
+FEW_PARTITIONS = 2000
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
+
+@contextmanager
+def _many_writers(spark: SparkSession, partition_by: Sequence[str]) -> Iterator[None]:
+    """Keep small shuffle partitions apart during a partitioned write.
+
+    AQE merges by bytes, but a write of many small days costs by files: merged, one task would write thousands
+    of files in turn. With very many shuffle partitions the data is large, and merging is left on.
+    """
+    before = spark.conf.get(COALESCE)
+    if not partition_by or int(spark.conf.get("spark.sql.shuffle.partitions")) > FEW_PARTITIONS:
+        yield
+        return
+    spark.conf.set(COALESCE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(COALESCE, before)
+
+
 def overwrite_table(
     df: DataFrame,
     path: str,
@@ -46,7 +70,8 @@ def overwrite_table(
     try:
         writer = _laid_out(df, partition_by, cluster_by).write.mode("errorifexists")
         writer = writer.option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(incoming)
+        with _many_writers(spark, partition_by):
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(incoming)
         if accept is not None:
             accept(read_table(spark, incoming, df.schema))
         _swap_in(spark, incoming, path)
@@ -85,9 +110,9 @@ def upsert_by_partition(
     schema: StructType | None = None,
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Update rows whose ``key`` matches, insert the others; only partitions present in ``incoming`` are rewritten.
+    """Update rows whose ``key`` matches, insert the others; only dates present in ``incoming`` are read or rewritten.
 
-    A key determines its partition, so every match lies in those partitions. Rows that ``incoming`` lacks are
+    A key determines its date, so every match lies in those partitions. Rows that ``incoming`` lacks are
     never deleted. Repeating the call gives the same table. ``schema`` declares the existing table's columns;
     without it they are merged from the files. Raises AmbiguousUpsert if a key repeats in ``incoming``.
     """
@@ -100,17 +125,15 @@ def upsert_by_partition(
             return
         if not touched:
             return
-        table = read_table(spark, path, schema, merge_schema=True)
-        current = table.where(F.col(partition_col).isin(touched))
-        kept = current.join(incoming.select(key), key, "left_anti").select(*table.columns)
-        merged = align_schema(kept, incoming)
-        (
-            _laid_out(merged, [partition_col], cluster_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col)
-            .parquet(path)
-        )
+        merged = incoming
+        current = read_partitions(spark, path, partition_col, touched, schema)
+        if current is not None:
+            kept = current.join(incoming.select(key), key, "left_anti").select(*current.columns)
+            merged = align_schema(kept, incoming)
+        merged = _laid_out(merged, [partition_col], cluster_by)
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        with _many_writers(spark, [partition_col]):
+            writer.partitionBy(partition_col).parquet(path)
         spark.catalog.refreshByPath(path)
     finally:
         incoming.unpersist()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,41 @@ def read_table(
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def partition_folder(path: str, column: str, value: dt.date) -> str:
+    return f"{path}/{column}={value.isoformat()}"
+
+
+def read_partitions(
+    spark: SparkSession, path: str, column: str, dates: Sequence[dt.date], schema: StructType | None = None
+) -> DataFrame | None:
+    """The rows of the given dates of a table partitioned by ``column``; None if it has none of them.
+
+    Only those folders are listed and opened, so the cost does not depend on the size of the table.
+    """
+    folders = [f for f in (partition_folder(path, column, d) for d in dates) if table_exists(spark, f)]
+    if not folders:
+        return None
+    reader = spark.read.option("basePath", path)
+    if schema is None:
+        return reader.option("mergeSchema", True).parquet(*folders)
+    return reader.schema(schema).parquet(*folders).select(*schema.fieldNames())
+
+
+def newest_partition(spark: SparkSession, path: str, column: str = "fee_date") -> dt.date | None:
+    """high_water_mark() of a table partitioned by the date ``column``, from its folder names.
+
+    Opens only the newest folder that holds rows, where the aggregate would open every file's footer.
+    """
+    fs, target = hadoop_path(spark, path)
+    prefix = f"{column}="
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
+    dates = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+    for date in sorted((d for d in dates if d[0].isdigit()), reverse=True):
+        if not spark.read.parquet(f"{path}/{prefix}{date}").isEmpty():
+            return dt.date.fromisoformat(date)
+    return None
+
+
 def high_water_mark(target: DataFrame, column: str = "fee_date") -> dt.date | None:
     """Largest value of ``column``; None for an empty table, which callers read as 'no bound'."""
     return target.agg(F.max(column)).first()[0]
