@@ -17,14 +17,16 @@ MONEY_SCALE = 2
 
 
 def to_units(amount: Column, scale: int = MONEY_SCALE, strict: bool = False) -> Column:
-    """Minor units of ``amount``; with ``strict``, fail the job on an amount finer than ``scale`` decimals."""
+    """Minor units of ``amount``; with ``strict``, fail the job on an amount not exact at ``scale`` decimals."""
     factor = float(10**scale)
     amount = amount.cast("double")
     units = F.rint(amount * factor)
     if strict:
-        # Dividing back gives the double nearest to the decimal, so equality means nothing was lost.
-        message = F.concat(F.lit(f"amount has more than {scale} decimals: "), amount.cast("string"))
-        units = F.when((units / factor) == amount, units).otherwise(F.raise_error(message).cast("double"))
+        # Dividing back gives the double nearest to the decimal, so equality means nothing was lost. From 2**53
+        # units on a double no longer tells neighbours apart; NaN compares as larger than any number.
+        exact = ((units / factor) == amount) & (F.abs(units) < float(2**53))
+        message = F.concat(F.lit(f"amount is not exact at {scale} decimals: "), amount.cast("string"))
+        units = F.when(exact, units).otherwise(F.raise_error(message).cast("double"))
     return units.cast("bigint")
 
 

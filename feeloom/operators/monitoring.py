@@ -14,7 +14,8 @@ from pyspark.sql.types import StructType
 from feeloom.functions.keys import fee_key
 from feeloom.functions.money import MONEY_SCALE, exact_mean, to_units, units_to_double
 from feeloom.operators.checks import beyond_tolerance, expected_ltv, unique
-from feeloom.schemas import FEE_COLUMNS, LTV_WINDOWS, ltv_columns
+from feeloom.operators.staging import drop_incomplete
+from feeloom.schemas import LTV_WINDOWS, ltv_columns
 
 
 def freshness(
@@ -196,5 +197,5 @@ def trace_to_raw(raw: DataFrame, fees: DataFrame, clients: DataFrame, scale: int
     Read ``raw`` with ``_metadata.file_path`` selected to trace on to the file.
     """
     counted = fees.join(clients.select("client_id"), "client_id", "left_semi").select("fee_id")
-    complete = raw.dropna("any", subset=FEE_COLUMNS).withColumn("fee_id", fee_key(scale))
+    complete = drop_incomplete(raw).withColumn("fee_id", fee_key(scale))
     return complete.join(counted, "fee_id", "left_semi")

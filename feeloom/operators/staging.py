@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ LOOKBACK_DAYS = 3
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] = FEE_COLUMNS) -> DataFrame:
     """Rows with a value in every one of ``columns``."""
-    return df.dropna("any", subset=list(columns))
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
 
 
 def since_lookback(
