@@ -35,7 +35,7 @@ def _csv_options(spark: SparkSession, glob: str, quoted_newlines: bool | None) -
         "enforceSchema": False,  # a header whose names do not match is an error
         "multiLine": quoted_newlines,
         "escape": '"',
-        "columnPruning": False,  # parse every column, so a bad record is seen whatever is selected
+        "columnPruning": False,  # split whole records, so a short or long row is seen whatever is selected
     }
 
 
@@ -47,6 +47,9 @@ def read_fees_csv(
 ) -> DataFrame:
     """All rows of the files matching ``glob``. Short rows, extra columns and unparsable values fail the job.
 
+    A value is parsed when its column is used: a load that writes every column sees every bad value, a bare
+    count() sees only short and long rows.
+
     ``quoted_newlines``: True parses each file in one task, False splits files. The default decides exactly:
     files up to 1 GiB are parsed whole; for bigger ones the text is scanned first, and the files stay
     splittable unless a quoted newline is really there.

@@ -1,0 +1,142 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from feeloom.operators.staging import stage_fees
+from feeloom.schemas import STAGED_COLUMNS, STAGED_SCHEMA
+from feeloom.sinks import AmbiguousUpsert, align_schema, overwrite_table, upsert_by_partition
+from feeloom.sources.tables import high_water_mark, newest_partition, read_partitions, read_table, table_path
+from tests.conftest import fee, rows
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "staging" / "stg_fees")
+
+
+def staged(ledger, *fees, **options):
+    return stage_fees(ledger(*fees), **options)
+
+
+def read(spark, path):
+    return rows(read_table(spark, path, STAGED_SCHEMA), *STAGED_COLUMNS[1:])
+
+
+def test_layers_route_to_folders():
+    assert table_path("/w/", "dim", " reporting ") == "/w/reporting/dim"
+    assert table_path("/w", "stg") == "/w/staging/stg"
+
+
+def test_declared_column_order_survives_partitioning(spark, ledger, path):
+    overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0)), path, ["fee_date"])
+    assert spark.read.parquet(path).columns[-1] == "fee_date"
+    assert read_table(spark, path, STAGED_SCHEMA).columns == STAGED_COLUMNS
+
+
+def test_a_table_can_be_overwritten_from_itself(spark, ledger, path):
+    overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0), fee("B", "a", "2025-01-06", 1.0)), path, ["fee_date"])
+    overwrite_table(read_table(spark, path, STAGED_SCHEMA).where("client_id = 'B'"), path, ["fee_date"])
+    assert [r[0] for r in read(spark, path)] == ["B"]
+
+
+def test_a_failing_job_keeps_the_old_table(spark, ledger, path):
+    overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0)), path, ["fee_date"])
+    with pytest.raises(Exception, match="not exact"):
+        overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 0.001)), path, ["fee_date"])
+    assert len(read(spark, path)) == 1
+
+
+def test_overwrite_ignores_a_dynamic_session(spark, ledger, path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0)), path, ["fee_date"])
+        overwrite_table(staged(ledger, fee("B", "a", "2025-02-05", 1.0)), path, ["fee_date"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r[0] for r in read(spark, path)] == ["B"]
+
+
+def test_one_file_per_small_day_and_clustered_rows(spark, ledger, path):
+    fees = [fee(f"C{9 - i % 10}", f"a{i}", dt.date(2025, 1, 1 + i % 3), float(i)) for i in range(90)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    overwrite_table(staged(ledger, *fees), path, ["fee_date"], ["client_id"])
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == before
+    table = spark.read.parquet(path)
+    assert len(table.inputFiles()) == 3
+    day = table.where("fee_date = DATE '2025-01-01'").select("client_id").collect()
+    assert day == sorted(day)
+
+
+def test_a_day_bigger_than_the_advisory_size_is_split(spark, path):
+    big = spark.range(400_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("x"), F.lit(dt.date(2025, 1, 1)).alias("fee_date")
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    try:
+        overwrite_table(big.repartition(16), path, ["fee_date"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    table = spark.read.parquet(path)
+    assert table.count() == 400_000
+    assert len(table.inputFiles()) > 1
+
+
+def test_first_upsert_creates_the_table(spark, ledger, path):
+    upsert_by_partition(spark, path, staged(ledger, fee("A", "a", "2025-01-05", 1.0)), schema=STAGED_SCHEMA)
+    assert len(read(spark, path)) == 1
+
+
+def test_upsert_updates_inserts_and_repeats(spark, ledger, path):
+    old = [fee("A", "a", "2025-01-05", 1.0, "old"), fee("B", "a", "2025-01-05", 1.0), fee("C", "a", "2025-01-06", 1.0)]
+    overwrite_table(staged(ledger, *old), path, ["fee_date"])
+    untouched = read_partitions(spark, path, "fee_date", [dt.date(2025, 1, 6)]).inputFiles()
+    new = [fee("A", "a", "2025-01-05", 1.0, "new"), fee("D", "a", "2025-01-05", 2.0), fee("E", "a", "2025-01-09", 1.0)]
+    for _ in range(2):
+        upsert_by_partition(spark, path, staged(ledger, *new), schema=STAGED_SCHEMA)
+        assert [(r[0], r[1]) for r in read(spark, path)] == [
+            ("A", "new"), ("B", "NB"), ("C", "NC"), ("D", "ND"), ("E", "NE"),
+        ]
+    assert read_partitions(spark, path, "fee_date", [dt.date(2025, 1, 6)]).inputFiles() == untouched
+
+
+def test_upsert_refuses_two_rows_for_one_key(spark, ledger, path):
+    twice = staged(ledger, fee("F", "a", "2025-01-05", 1.0, "N1"), fee("F", "a", "2025-01-05", 1.0, "N2"))
+    with pytest.raises(AmbiguousUpsert):
+        upsert_by_partition(spark, path, twice)
+    overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0)), path, ["fee_date"])
+    with pytest.raises(AmbiguousUpsert):
+        upsert_by_partition(spark, path, twice)
+    assert len(read(spark, path)) == 1
+
+
+def test_an_empty_upsert_changes_nothing(spark, ledger, path):
+    overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0)), path, ["fee_date"])
+    upsert_by_partition(spark, path, staged(ledger), schema=STAGED_SCHEMA)
+    assert len(read(spark, path)) == 1
+
+
+def test_new_columns_are_appended(spark, ledger, path):
+    overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0), fee("B", "a", "2025-01-06", 1.0)), path, ["fee_date"])
+    raw = ledger(fee("B", "a", "2025-01-06", 1.0), fee("C", "a", "2025-01-06", 1.0)).withColumn("currency", F.lit("GBP"))
+    upsert_by_partition(spark, path, stage_fees(raw, extra_columns=["currency"]))
+    # A later slice without the column keeps it for the rows already there.
+    upsert_by_partition(spark, path, staged(ledger, fee("D", "a", "2025-01-06", 1.0)))
+    table = read_table(spark, path, merge_schema=True)
+    assert {r["client_id"]: r["currency"] for r in table.collect()} == {"A": None, "B": "GBP", "C": "GBP", "D": None}
+
+
+def test_align_schema_puts_new_columns_last(spark):
+    old, new = spark.createDataFrame([(1, 2)], "a int, b int"), spark.createDataFrame([(3, 4)], "c int, a int")
+    both = align_schema(old, new)
+    assert both.columns == ["a", "b", "c"]
+    assert {tuple(r) for r in both.collect()} == {(1, 2, None), (4, None, 3)}
+
+
+def test_high_water_mark(spark, ledger, path):
+    overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0), fee("B", "a", "2025-03-06", 1.0)), path, ["fee_date"])
+    assert high_water_mark(read_table(spark, path, STAGED_SCHEMA)) == dt.date(2025, 3, 6)
+    assert newest_partition(spark, path) == dt.date(2025, 3, 6)
+    overwrite_table(staged(ledger), path, ["fee_date"])
+    assert high_water_mark(read_table(spark, path, STAGED_SCHEMA)) is None
+    assert newest_partition(spark, path) is None
