@@ -76,6 +76,11 @@ def financial_reconciliation(
     return totals.withColumn("discrepancy", difference).where(failed)
 
 
+def _too_many_lost(max_lost: float) -> Column:
+    removed = F.col("raw_count") - F.col("staging_count")
+    return (removed < 0) | (removed > F.col("raw_count") * F.lit(max_lost))
+
+
 def row_count_reconciliation(
     raw: DataFrame, fees: DataFrame, max_lost: float = MAX_LOST_FRACTION
 ) -> DataFrame:
@@ -89,7 +94,7 @@ def row_count_reconciliation(
         "staging_count",
         removed.alias("rows_removed"),
         F.round(share.cast("decimal(38,6)"), 2).cast("double").alias("pct_removed"),
-    ).where((F.col("staging_count") > F.col("raw_count")) | (removed > F.col("raw_count") * F.lit(max_lost)))
+    ).where(_too_many_lost(max_lost))
 
 
 def expected_ltv(fees: DataFrame, windows: Sequence[int] = LTV_WINDOWS, scale: int = MONEY_SCALE) -> DataFrame:
@@ -142,30 +147,51 @@ REQUIRED_COLUMNS = {
 }
 
 
-def run_checks(tables: Mapping[str, DataFrame], windows: Sequence[int] = LTV_WINDOWS) -> DataFrame:
+def _staging_profile(tables: Mapping[str, DataFrame], scale: int) -> DataFrame:
+    """Null counts, financial and row-count reconciliation of staging, from one pass over it."""
+    fees, columns = tables["stg_fees"], REQUIRED_COLUMNS["stg_fees"]
+    raw = tables["raw_fees"].agg(F.count("*").alias("n"))
+    reported = tables["rpt_client_ltv"].agg(F.sum(to_units(F.col("ltv_total"))).alias("u"))
+    profile = fees.agg(
+        F.count("*").alias("staging_count"),
+        F.sum(to_units(F.col("fee_amount"), scale)).alias("staged"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
+    ).select("*", raw.scalar().alias("raw_count"), units_to_double(reported.scalar()).alias("published"))
+    totals = (units_to_double(F.col("staged"), scale), F.col("published"))
+    unbalanced = beyond_tolerance([totals]) | totals[0].isNull() | totals[1].isNull()
+    results = {f"not_null stg_fees.{c}": F.col(f"null_{c}") for c in columns}
+    results["financial reconciliation"] = unbalanced.cast("bigint")
+    results["row count reconciliation"] = _too_many_lost(MAX_LOST_FRACTION).cast("bigint")
+    rows = [F.struct(F.lit(n).alias("check"), v.alias("violations")) for n, v in results.items()]
+    return profile.select(F.inline(F.array(*rows)))
+
+
+def run_checks(
+    tables: Mapping[str, DataFrame], windows: Sequence[int] = LTV_WINDOWS, scale: int = MONEY_SCALE
+) -> DataFrame:
     """(check, violations) for every check over one build; ``tables`` maps model names, with ``raw_fees``."""
 
     def counted(name: str, violations: DataFrame) -> DataFrame:
         return violations.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
 
-    results = []
+    fees, ltv = tables["stg_fees"], tables["rpt_client_ltv"]
+    results = [_staging_profile(tables, scale)]
     for table, column in UNIQUE_COLUMNS.items():
         results.append(counted(f"unique {table}.{column}", unique(tables[table], column)))
     for table, columns in REQUIRED_COLUMNS.items():
-        nulls = null_counts(tables[table], columns)
-        label = F.concat(F.lit(f"not_null {table}."), F.col("column_name"))
-        results.append(nulls.select(label.alias("check"), F.col("null_rows").alias("violations")))
-    fees, ltv = tables["stg_fees"], tables["rpt_client_ltv"]
+        if table != "stg_fees":
+            nulls = null_counts(tables[table], columns)
+            label = F.concat(F.lit(f"not_null {table}."), F.col("column_name"))
+            results.append(nulls.select(label.alias("check"), F.col("null_rows").alias("violations")))
     results.append(counted("one nino per client", one_nino_per_client(fees)))
-    results.append(counted("financial reconciliation", financial_reconciliation(fees, ltv, guard_empty=True)))
-    results.append(counted("row count reconciliation", row_count_reconciliation(tables["raw_fees"], fees)))
-    results.append(counted("ltv recomputation", ltv_recomputation(fees, ltv, windows)))
+    results.append(counted("ltv recomputation", ltv_recomputation(fees, ltv, windows, scale)))
     return reduce(DataFrame.unionAll, results)
 
 
 def enforce(results: DataFrame) -> DataFrame:
-    """Raise ChecksFailed if any check of run_checks() has violations (one row per check, so a small collect)."""
-    failed = [f"{r['check']}: {r['violations']}" for r in results.collect() if r["violations"]]
+    """Evaluate run_checks() once (a row per check) and return the outcome; raise ChecksFailed on any violation."""
+    outcome = results.collect()
+    failed = [f"{r['check']}: {r['violations']}" for r in outcome if r["violations"]]
     if failed:
         raise ChecksFailed("; ".join(failed))
-    return results
+    return results.sparkSession.createDataFrame(outcome, results.schema)

@@ -78,6 +78,18 @@ def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def record_counts(tables: Mapping[str, DataFrame], history_path: str, run_id: str) -> None:
+    """Add this run's layer_counts() to the history table; repeating a run replaces its rows."""
+    counts = layer_counts(tables).withColumn("run_id", F.lit(run_id))
+    (
+        counts.coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(history_path)
+    )
+
+
 def count_changes(history: DataFrame, max_change: float = 0.2) -> DataFrame:
     """Runs in ``history`` (run_id, table, rows) whose row count moved by more than ``max_change`` since the run before."""
     previous = F.lag("rows").over(Window.partitionBy("table").orderBy("run_id"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +24,15 @@ from feeloom.schemas import (
     client_ltv_schema,
     cohort_ltv_schema,
 )
-from feeloom.sinks.tables import overwrite_table, table_report, upsert_by_partition
+from feeloom.sinks.tables import overwrite_table, publish, table_report, upsert_by_partition
 from feeloom.sources.csv_files import read_fees_csv, require_not_null
+from feeloom.sources.files import hadoop_path
 from feeloom.sources.tables import newest_partition, read_table, table_exists, table_path
 
 
+REPORTS = ["dim_clients", "rpt_client_ltv", "rpt_cohort_ltv", "rpt_adviser_ltv"]
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Where the layered tables live, and the parameters the models share."""
@@ -37,14 +42,7 @@ class Warehouse:
     lookback_days: int = LOOKBACK_DAYS
     cluster_by: Sequence[str] = ()
 
-    LAYERS = {
-        "fees": "raw",
-        "stg_fees": "staging",
-        "dim_clients": "reporting",
-        "rpt_client_ltv": "reporting",
-        "rpt_cohort_ltv": "reporting",
-        "rpt_adviser_ltv": "reporting",
-    }
+    LAYERS = {"fees": "raw", "stg_fees": "staging", **dict.fromkeys(REPORTS, "reporting")}
 
     def path(self, model: str) -> str:
         return table_path(self.root, model, self.LAYERS.get(model))
@@ -123,10 +121,13 @@ def run_refresh(
     skip_ingest: bool = False,
     skip_tests: bool = False,
     full_refresh: bool = False,
+    gate: bool = False,
 ) -> DataFrame | None:
     """Ingest, build every model, then check; returns the check results (None if skipped).
 
-    Checks run on the published tables; a failure raises ChecksFailed and leaves them published.
+    Checks run on the published tables; a failure raises ChecksFailed and leaves them published. With ``gate``
+    the reporting tables are built aside and replace the published ones only if the checks pass (raw and
+    staging are updated either way).
     """
     if not skip_ingest:
         if glob is None:
@@ -135,7 +136,17 @@ def run_refresh(
     raw = store.read(spark, "fees")
     build_staging(spark, store, full_refresh, raw)
     fees = store.read(spark, "stg_fees")
-    build_reports(spark, store, fees)
-    if skip_tests:
-        return None
-    return enforce(run_checks(store.tables(spark, raw_fees=raw, stg_fees=fees), store.windows))
+    target = replace(store, root=f"{store.root}/candidate_{uuid.uuid4().hex[:12]}") if gate else store
+    build_reports(spark, target, fees)
+    try:
+        results = None
+        if not skip_tests:
+            results = enforce(run_checks(target.tables(spark, raw_fees=raw, stg_fees=fees), store.windows))
+        if gate:
+            for model in REPORTS:
+                publish(spark, target.path(model), store.path(model))
+        return results
+    finally:
+        if gate:
+            fs, aside = hadoop_path(spark, target.root)
+            fs.delete(aside, True)

@@ -74,16 +74,18 @@ def overwrite_table(
             (writer.partitionBy(*partition_by) if partition_by else writer).parquet(incoming)
         if accept is not None:
             accept(read_table(spark, incoming, df.schema))
-        _swap_in(spark, incoming, path)
+        publish(spark, incoming, path)
     finally:
         if fs.exists(incoming_path):
             fs.delete(incoming_path, True)
 
 
-def _swap_in(spark: SparkSession, incoming: str, path: str) -> None:
+def publish(spark: SparkSession, incoming: str, path: str) -> None:
+    """Move the complete table at ``incoming`` to ``path``, replacing the one there."""
     fs, target = hadoop_path(spark, path)
     _, source = hadoop_path(spark, incoming)
     _, retired = hadoop_path(spark, f"{path}__retired_{uuid.uuid4().hex[:12]}")
+    fs.mkdirs(target.getParent())
     replaced = fs.exists(target)
     if replaced and not fs.rename(target, retired):
         raise OSError(f"could not move {path} aside")

@@ -34,19 +34,20 @@ def fee_ledger(spark: SparkSession, sf_dir: str, variant: str = "base") -> DataF
     wrong national insurance number on some second copies. ``bulky``: base with more than 5 % second copies.
     """
     lines = _lines(spark, sf_dir)
-    base = lines.select(*FEE_COLUMNS)
     if variant == "base":
-        return base
-    if variant == "bulky":
-        return base.unionAll(lines.where(RESENT_OFTEN).select(*FEE_COLUMNS))
-    lossy = lines.withColumn("client_id", F.when(~F.expr(LOST_CLIENT), F.col("client_id"))).select(*FEE_COLUMNS)
-    copies = lines.where(RESENT)
+        return lines.select(*FEE_COLUMNS)
+    if variant not in ("raw", "faulty", "bulky"):
+        raise ValueError(f"unknown variant {variant!r}")
+    resent = F.expr(RESENT_OFTEN if variant == "bulky" else RESENT)
+    once, twice = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
+    sent = lines.withColumn("is_copy", F.explode(F.when(resent, twice).otherwise(once)))
+    if variant != "bulky":
+        sent = sent.withColumn("client_id", F.when(~F.expr(LOST_CLIENT), F.col("client_id")))
     if variant == "faulty":
         nino = F.col("client_nino")
-        copies = copies.withColumn("client_nino", F.when(F.expr(WRONG_NINO), F.concat(nino, F.lit("X"))).otherwise(nino))
-    elif variant != "raw":
-        raise ValueError(f"unknown variant {variant!r}")
-    return lossy.unionAll(copies.select(*FEE_COLUMNS))
+        wrong = F.col("is_copy") & F.expr(WRONG_NINO)
+        sent = sent.withColumn("client_nino", F.when(wrong, F.concat(nino, F.lit("X"))).otherwise(nino))
+    return sent.select(*FEE_COLUMNS)
 
 
 def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

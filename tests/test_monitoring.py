@@ -40,6 +40,15 @@ def test_counts_and_their_changes(spark, ledger):
     assert rows(monitoring.count_changes(history), "*") == [(3, "raw", 50, 110)]
 
 
+def test_recorded_counts(spark, ledger, tmp_path):
+    history, raw = str(tmp_path / "history"), ledger(*[fee("A", "a", "2025-01-05", float(i)) for i in range(5)])
+    for run, rows_kept in (("r1", 5), ("r2", 1), ("r2", 2)):
+        monitoring.record_counts({"raw": raw.where(F.col("fee_amount") < rows_kept)}, history, run)
+    recorded = spark.read.parquet(history)
+    assert rows(recorded, "run_id", "rows") == [("r1", 5), ("r2", 2)]
+    assert rows(monitoring.count_changes(recorded), "run_id", "previous_rows") == [("r2", 5)]
+
+
 def test_rules(ledger):
     raw = ledger(fee("A", "a", "2025-01-05", 1.0), fee(None, "a", "2025-01-05", 200.0), fee("A", "b", "2025-01-05", 3.0))
     rules = [monitoring.Rule("client_id", "not_null"), monitoring.Rule("fee_amount", "between", 0.0, 100.0), monitoring.Rule("client_id", "unique")]

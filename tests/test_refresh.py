@@ -77,6 +77,17 @@ def test_failing_checks_leave_tables_published(spark, store, tmp_path):
     assert store.read(spark, "rpt_adviser_ltv").count() > 0
 
 
+def test_a_gate_keeps_the_old_reports_when_checks_fail(spark, store, tmp_path):
+    folder = tmp_path / "files"
+    assert run_refresh(spark, store, write_csv(folder, "one.csv", *many()), gate=True).count() == 22
+    before = rows(store.read(spark, "rpt_adviser_ltv"), "*")
+    twins = [fee("T", "a", "2025-08-29", 1.0, "N1"), fee("T", "b", "2025-08-29", 1.0, "N2")]
+    with pytest.raises(ChecksFailed):
+        run_refresh(spark, store, write_csv(folder, "two.csv", *twins), gate=True)
+    assert rows(store.read(spark, "rpt_adviser_ltv"), "*") == before
+    assert [p.name for p in (tmp_path / "store").iterdir() if p.name.startswith("candidate")] == []
+
+
 def test_lookback(spark, ledger, store):
     load(store, ledger(fee("A", "a", "2025-06-10", 1.0)))
     build_staging(spark, store)
