@@ -69,7 +69,6 @@ def skipped_by_lookback(
     raw: DataFrame, staged: DataFrame, bound: dt.date | None, lookback_days: int = LOOKBACK_DAYS
 ) -> DataFrame:
     """Distinct complete raw rows older than the lookback bound that staging does not hold."""
-    if bound is None:
-        return stage_fees(raw.limit(0))
-    old = raw.where(F.col("fee_date") < F.date_sub(F.lit(bound), lookback_days))
+    before = F.lit(False) if bound is None else F.col("fee_date") < F.date_sub(F.lit(bound), lookback_days)
+    old = raw.where(before)
     return stage_fees(old).join(staged.select("fee_id"), "fee_id", "left_anti")

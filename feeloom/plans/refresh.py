@@ -64,6 +64,26 @@ class Warehouse:
         return {name: known[name] if name in known else self.read(spark, m) for name, m in models.items()}
 
 
+def register_tables(spark: SparkSession, store: Warehouse) -> list[str]:
+    """Make the written tables queryable by name (raw.fees, reporting.rpt_adviser_ltv, ...); returns the names.
+
+    The tables stay where they are; call again after a run that added dates.
+    """
+    names = []
+    for model, layer in store.LAYERS.items():
+        path = store.path(model)
+        if not table_exists(spark, path):
+            continue
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{store.root}/{layer}'")
+        name = f"{layer}.{model}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table: its files stay
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+        if layer != "reporting":
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+        names.append(name)
+    return names
+
+
 def ingest_fees(spark: SparkSession, glob: str, store: Warehouse) -> DataFrame:
     """Replace the raw table by the CSV files; returns the load report (table, rows, bytes, files).
 

@@ -65,7 +65,8 @@ def newest_partition(spark: SparkSession, path: str, column: str = "fee_date") -
     names = [status.getPath().getName() for status in fs.listStatus(target)]
     dates = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
     for date in sorted((d for d in dates if d[0].isdigit()), reverse=True):
-        if not spark.read.parquet(f"{path}/{prefix}{date}").isEmpty():
+        folder = spark.read.schema("_ string").parquet(f"{path}/{prefix}{date}")  # any schema: rows are counted
+        if not folder.isEmpty():
             return dt.date.fromisoformat(date)
     return None
 

@@ -3,9 +3,17 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from feeloom.__main__ import main
 from feeloom.operators.checks import ChecksFailed
 from feeloom.operators.staging import stage_fees
-from feeloom.plans.refresh import Warehouse, backfill_staging, build_reports, build_staging, run_refresh
+from feeloom.plans.refresh import (
+    Warehouse,
+    backfill_staging,
+    build_reports,
+    build_staging,
+    register_tables,
+    run_refresh,
+)
 from feeloom.schemas import STAGED_COLUMNS
 from feeloom.sinks import overwrite_table
 from tests.conftest import fee, rows
@@ -138,3 +146,32 @@ def test_reports_follow_the_windows_of_the_store(spark, ledger, tmp_path):
     build_reports(spark, store)
     assert "rank_by_ltv_12_month" in store.read(spark, "rpt_adviser_ltv").columns
     assert store.read(spark, "rpt_cohort_ltv").first()["avg_ltv_2_month"] > 0
+
+
+def test_tables_answer_sql_by_name(spark, ledger, store):
+    load(store, ledger(*many()))
+    build_staging(spark, store)
+    build_reports(spark, store)
+    for _ in range(2):
+        names = register_tables(spark, store)
+    assert names[0] == "raw.fees" and len(names) == 6
+    best = spark.sql("SELECT * FROM reporting.rpt_adviser_ltv ORDER BY rank_by_ltv_6_month LIMIT 10")
+    assert best.first()["rank_by_ltv_6_month"] == 1
+    assert spark.sql("SELECT * FROM staging.stg_fees WHERE fee_date = DATE '2025-01-04'").count() == 1
+    assert spark.table("raw.fees").count() == 80
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    assert store.read(spark, "fees").count() == 80
+
+
+def test_command_line(spark, tmp_path, capsys):
+    folder, root = tmp_path / "files", str(tmp_path / "store")
+    glob = write_csv(folder, "one.csv", *many())
+    assert main([root, glob, "--windows", "1,6"]) == 0
+    assert "22 checks passed" in capsys.readouterr().out
+    assert main([root, "--skip-ingest", "--skip-tests", "--full-refresh", "--windows", "1,6"]) == 0
+    write_csv(folder, "two.csv", fee("T", "a", "2025-08-29", 1.0, "N1"), fee("T", "b", "2025-08-29", 1.0, "N2"))
+    assert main([root, glob, "--windows", "1,6"]) == 1
+    assert "one nino per client: 1" in capsys.readouterr().err
+    with pytest.raises(SystemExit):
+        main([root])
