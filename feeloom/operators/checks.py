@@ -124,10 +124,12 @@ def ltv_recomputation(
     return both.where(beyond_tolerance(pairs)).select("client_id", *ordered)
 
 
-def non_empty(df: DataFrame, name: str) -> None:
-    """Raise if a loaded table has no rows."""
-    if df.isEmpty():
+def non_empty(df: DataFrame, name: str) -> int:
+    """Row count of a loaded table (from file footers); raises if there are none."""
+    rows = df.count()
+    if rows == 0:
         raise ValueError(f"{name} has 0 rows after load")
+    return rows
 
 
 # Key and required columns per table of one build.

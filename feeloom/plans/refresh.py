@@ -89,11 +89,16 @@ def ingest_fees(spark: SparkSession, glob: str, store: Warehouse) -> DataFrame:
 
     One pass over the files. A bad record, a NULL or an empty load fails and leaves the old table in place.
     """
-    rows = require_not_null(read_fees_csv(spark, glob))
+    fees = require_not_null(read_fees_csv(spark, glob))
+    counted = []
     overwrite_table(
-        rows, store.path("fees"), ["fee_date"], store.cluster_by, accept=lambda loaded: non_empty(loaded, "raw.fees")
+        fees,
+        store.path("fees"),
+        ["fee_date"],
+        store.cluster_by,
+        accept=lambda loaded: counted.append(non_empty(loaded, "raw.fees")),
     )
-    return table_report(spark, store.path("fees"), "raw.fees")
+    return table_report(spark, store.path("fees"), "raw.fees", counted[0])
 
 
 def build_staging(
