@@ -11,8 +11,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from feeloom.schemas import FEE_COLUMNS, FEE_SCHEMA
 from feeloom.sources.files import largest_file
+from feeloom.sources.split_csv import csv_records
 
-# A file with quoted newlines cannot be split. Up to this size one task per file is fine.
+# Up to this size one task per file is fine.
 WHOLE_FILE_BYTES = 1 << 30
 CORRUPT = "_corrupt_record"
 
@@ -27,16 +28,32 @@ def has_quoted_newlines(spark: SparkSession, glob: str) -> bool:
     return not lines.where(quotes % 2 == 1).isEmpty()
 
 
-def _csv_options(spark: SparkSession, glob: str, quoted_newlines: bool | None) -> dict:
-    if quoted_newlines is None:
-        quoted_newlines = largest_file(spark, glob) <= WHOLE_FILE_BYTES or has_quoted_newlines(spark, glob)
-    return {
-        "header": True,
-        "enforceSchema": False,  # a header whose names do not match is an error
-        "multiLine": quoted_newlines,
-        "escape": '"',
-        "columnPruning": False,  # split whole records, so a short or long row is seen whatever is selected
-    }
+def _layout(spark: SparkSession, glob: str) -> str:
+    """How to read ``glob``: 'whole' files, plain 'lines', or 'records' that span lines of files worth splitting."""
+    if largest_file(spark, glob) <= WHOLE_FILE_BYTES:
+        return "whole"
+    return "records" if has_quoted_newlines(spark, glob) else "lines"
+
+
+def _read(
+    spark: SparkSession, glob: str, schema: StructType, quoted_newlines: bool | None, header: list[str], **options
+) -> DataFrame:
+    """Rows of ``schema`` and their source_file."""
+    options["escape"] = '"'
+    layout = _layout(spark, glob) if quoted_newlines is None else "whole" if quoted_newlines else "lines"
+    if layout == "records":
+        loose = StructType([StructField(f.name, f.dataType) for f in schema.fields])
+        parsed = F.from_csv("record", loose.simpleString()[len("struct<") : -1].replace(":", " "), options)
+        rows = csv_records(spark, glob, header).select("source_file", parsed.alias("row"))
+        return rows.select("row.*", "source_file")
+    reader = spark.read.schema(schema).options(
+        header=True,
+        enforceSchema=False,  # a header whose names do not match is an error
+        multiLine=layout == "whole",
+        columnPruning=False,  # split whole records, so a short or long row is seen whatever is selected
+        **options,
+    )
+    return reader.csv(glob).withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def read_fees_csv(
@@ -50,12 +67,12 @@ def read_fees_csv(
     A value is parsed when its column is used: a load that writes every column sees every bad value, a bare
     count() sees only short and long rows.
 
-    ``quoted_newlines``: True parses each file in one task, False splits files. The default decides exactly:
-    files up to 1 GiB are parsed whole; for bigger ones the text is scanned first, and the files stay
-    splittable unless a quoted newline is really there.
+    ``quoted_newlines``: True parses each file in one task, False splits files at any newline. By default files
+    up to 1 GiB are parsed whole; for bigger ones the text is scanned first, and they are split at any newline
+    or, if a quoted newline is really there, at the records (csv_records).
     """
-    options = _csv_options(spark, glob, quoted_newlines)
-    return spark.read.schema(schema).options(mode="FAILFAST", **options).csv(glob)
+    names = schema.fieldNames()
+    return _read(spark, glob, schema, quoted_newlines, names, mode="FAILFAST").select(*names)
 
 
 def require_not_null(df: DataFrame, columns: list[str] = FEE_COLUMNS) -> DataFrame:
@@ -80,13 +97,15 @@ def quarantine_fees_csv(
 
     Both frames scan the files; write each to its table.
     """
-    options = _csv_options(spark, glob, quoted_newlines)
     permissive = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    rows = (
-        spark.read.schema(permissive)
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options)
-        .csv(glob)
-        .withColumn("source_file", F.col("_metadata.file_path"))
+    rows = _read(
+        spark,
+        glob,
+        permissive,
+        quoted_newlines,
+        schema.fieldNames(),
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=CORRUPT,
     )
     required = [f.name for f in schema.fields if not f.nullable]
     complete: Column = reduce(and_, [F.col(c).isNotNull() for c in required])

@@ -1,0 +1,116 @@
+"""Split reading of big CSV files whose quoted fields hold newlines.
+
+The built-in reader gives such a file to one task. Here the file is read as text in blocks, and the quotes before a
+line tell whether it starts a record: an even number closes every quote. Counts per block are cheap and small, so each
+block learns from them how it starts, and only records that span lines are put together across rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+TAIL = -1
+# A complete quoted field: after removing these, a quote that is left does not delimit a field.
+QUOTED_FIELD = r'(?s)(^|,)"(?:[^"]|"")*"(?=,|\r?\n|\r?$)'
+
+
+def _odd_quotes() -> Column:
+    without = F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return (F.length("value") - without) % 2
+
+
+def _block_starts(lines: DataFrame) -> DataFrame:
+    """Per block: whether it starts inside quotes, and which block owns the record it starts inside.
+
+    One row per block and file. A block that starts inside quotes holds the start of a record only if the quotes
+    close before its last line.
+    """
+    earlier = Window.partitionBy("file").orderBy("block")
+    odd = _odd_quotes()
+    opened = F.coalesce(F.sum("odd").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    closes_early = F.coalesce(F.col("first_odd") < F.col("last_line"), F.lit(False))
+    blocks = (
+        lines.groupBy("file", "block")
+        .agg(
+            F.sum(odd).alias("odd"),
+            F.min(F.when(odd == 1, F.col("line"))).alias("first_odd"),
+            F.max("line").alias("last_line"),
+        )
+        .select("file", "block", opened.alias("inside"), closes_early.alias("closes_early"))
+        .withColumn("has_start", (F.col("inside") == 0) | F.col("closes_early"))
+    )
+
+    def back(column: str, n: int) -> Column:
+        return F.lag(column, n).over(earlier)
+
+    # One block without a start is read exactly (the last one may be a few bytes); a field over two is refused.
+    owner = F.when(back("has_start", 1), back("block", 1)).when(back("has_start", 2), back("block", 2))
+    return blocks.select("file", "block", "inside", owner.alias("owner"))
+
+
+def csv_records(spark: SparkSession, glob: str, columns: Sequence[str]) -> DataFrame:
+    """(source_file, record): the text of every CSV record, header and blank lines left out.
+
+    A header that does not name ``columns``, a quote inside an unquoted field of a record that spans lines, and a
+    quoted field over two whole blocks (spark.sql.files.maxPartitionBytes each) fail the job.
+    """
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(glob)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+    )
+    in_block = Window.partitionBy("file", "block").orderBy("line")
+    before = F.coalesce(
+        F.sum(_odd_quotes()).over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    inside = F.coalesce(F.col("inside"), F.raise_error(F.lit("the file was split differently")).cast("bigint"))
+    located = (
+        lines.join(_block_starts(lines), ["file", "block"], "left")
+        .withColumn("starts", ((before + inside) % 2 == 0).cast("int"))
+        .withColumn("number", F.sum("starts").over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("records", F.sum("starts").over(Window.partitionBy("file", "block")))
+        .withColumn("next_starts", F.lead("starts").over(in_block))
+        .withColumn("first_line", (F.col("block") == 0) & (F.row_number().over(in_block) == 1))
+        .where(_past_header(columns))
+    )
+
+    alone = (F.col("starts") == 1) & (F.coalesce(F.col("next_starts"), F.lit(0)) == 1)
+    single = located.where(alone).select(F.col("file").alias("source_file"), F.col("value").alias("record"))
+
+    # The last record of a block may go on in the next one, whose leading lines have number 0.
+    leading = F.col("number") == 0
+    too_long = F.raise_error(F.lit("a quoted field spans two whole blocks; read with quoted_newlines=True"))
+    owner = F.when(leading, F.coalesce(F.col("owner"), too_long.cast("bigint"))).otherwise(F.col("block"))
+    number = F.when(leading | (F.col("number") == F.col("records")), TAIL).otherwise(F.col("number"))
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    text = F.array_join(F.transform(parts, lambda part: part["value"]), "\n")
+    stray = F.regexp_replace("record", QUOTED_FIELD, "$1").contains('"')
+    refused = F.raise_error(F.lit("a quote inside an unquoted field; read with quoted_newlines=True")).cast("string")
+    spanning = (
+        located.where(~alone)
+        .groupBy(
+            F.col("file").alias("source_file"),
+            owner.alias("owner"),
+            number.alias("number"),
+        )
+        .agg(text.alias("record"), F.count("*").alias("lines"))
+        .select("source_file", F.when((F.col("lines") > 1) & stray, refused).otherwise(F.col("record")).alias("record"))
+    )
+    records = single.unionAll(spanning).withColumn("record", F.regexp_replace("record", r"\r$", ""))
+    return records.where(F.trim("record") != "")
+
+
+def _past_header(columns: Sequence[str]) -> Column:
+    named = F.regexp_replace(F.regexp_replace("value", '["\r]', ""), r"\s*,\s*", ",") == ",".join(columns)
+    mismatch = F.raise_error(F.concat(F.lit("CSV header does not match the schema: "), F.col("value")))
+    return F.when(F.col("first_line"), F.when(named, F.lit(False)).otherwise(mismatch.cast("boolean"))).otherwise(
+        F.lit(True)
+    )
