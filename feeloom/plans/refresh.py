@@ -74,7 +74,7 @@ def register_tables(spark: SparkSession, store: Warehouse) -> list[str]:
         path = store.path(model)
         if not table_exists(spark, path):
             continue
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{store.root}/{layer}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{store.root.rstrip('/')}/{layer}'")
         name = f"{layer}.{model}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table: its files stay
         spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
