@@ -112,14 +112,14 @@ def build_staging(
         return
     bound = newest_partition(spark, path)
     recent = stage_fees(raw, bound, store.lookback_days)
-    upsert_by_partition(spark, path, recent, schema=STAGED_SCHEMA, cluster_by=store.cluster_by)
+    upsert_by_partition(spark, path, recent, cluster_by=store.cluster_by)
 
 
 def backfill_staging(spark: SparkSession, store: Warehouse, start: dt.date, end: dt.date) -> None:
     """Upsert the raw rows dated ``start`` to ``end`` (inclusive), whatever the lookback."""
     chosen = store.read(spark, "fees").where(F.col("fee_date").between(start, end))
     upsert_by_partition(
-        spark, store.path("stg_fees"), stage_fees(chosen), schema=STAGED_SCHEMA, cluster_by=store.cluster_by
+        spark, store.path("stg_fees"), stage_fees(chosen), cluster_by=store.cluster_by
     )
 
 

@@ -9,7 +9,6 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from feeloom.sources.files import hadoop_path, size_on_disk
 from feeloom.sources.tables import read_partitions, read_table, table_exists
@@ -109,14 +108,13 @@ def upsert_by_partition(
     incoming: DataFrame,
     key: str = "fee_id",
     partition_col: str = "fee_date",
-    schema: StructType | None = None,
     cluster_by: Sequence[str] = (),
 ) -> None:
     """Update rows whose ``key`` matches, insert the others; only dates present in ``incoming`` are read or rewritten.
 
     A key determines its date, so every match lies in those partitions. Rows that ``incoming`` lacks are
-    never deleted. Repeating the call gives the same table. ``schema`` declares the existing table's columns;
-    without it they are merged from the files. Raises AmbiguousUpsert if a key repeats in ``incoming``.
+    never deleted, and keep columns that ``incoming`` lacks. Repeating the call gives the same table. Raises
+    AmbiguousUpsert if a key repeats in ``incoming``.
     """
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -128,9 +126,12 @@ def upsert_by_partition(
         if not touched:
             return
         merged = incoming
-        current = read_partitions(spark, path, partition_col, touched, schema)
+        # Columns come from the files of these dates, so columns appended earlier are never dropped.
+        current = read_partitions(spark, path, partition_col, touched)
         if current is not None:
-            kept = current.join(incoming.select(key), key, "left_anti").select(*current.columns)
+            date = F.col(partition_col).cast(incoming.schema[partition_col].dataType)
+            kept = current.withColumn(partition_col, date)
+            kept = kept.join(incoming.select(key), key, "left_anti").select(*current.columns)
             merged = align_schema(kept, incoming)
         merged = _laid_out(merged, [partition_col], cluster_by)
         writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

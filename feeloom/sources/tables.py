@@ -39,20 +39,16 @@ def partition_folder(path: str, column: str, value: dt.date) -> str:
     return f"{path}/{column}={value.isoformat()}"
 
 
-def read_partitions(
-    spark: SparkSession, path: str, column: str, dates: Sequence[dt.date], schema: StructType | None = None
-) -> DataFrame | None:
-    """The rows of the given dates of a table partitioned by ``column``; None if it has none of them.
+def read_partitions(spark: SparkSession, path: str, column: str, dates: Sequence[dt.date]) -> DataFrame | None:
+    """The rows of the given dates of a table partitioned by ``column``, with every column their files have; None
+    if the table has none of the dates.
 
     Only those folders are listed and opened, so the cost does not depend on the size of the table.
     """
     folders = [f for f in (partition_folder(path, column, d) for d in dates) if table_exists(spark, f)]
     if not folders:
         return None
-    reader = spark.read.option("basePath", path)
-    if schema is None:
-        return reader.option("mergeSchema", True).parquet(*folders)
-    return reader.schema(schema).parquet(*folders).select(*schema.fieldNames())
+    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders)
 
 
 def newest_partition(spark: SparkSession, path: str, column: str = "fee_date") -> dt.date | None:

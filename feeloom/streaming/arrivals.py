@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from feeloom.operators.staging import stage_fees
-from feeloom.schemas import FEE_SCHEMA, STAGED_SCHEMA
+from feeloom.schemas import FEE_SCHEMA
 from feeloom.sinks.tables import upsert_by_partition
 from feeloom.sources.csv_files import require_not_null
 
@@ -35,7 +35,7 @@ def stage_arrivals(
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:
         staged = stage_fees(require_not_null(batch))
-        upsert_by_partition(batch.sparkSession, staged_path, staged, schema=STAGED_SCHEMA)
+        upsert_by_partition(batch.sparkSession, staged_path, staged)
 
     return (
         arriving.writeStream.foreachBatch(upsert)

@@ -124,6 +124,17 @@ def test_nino_refresh(spark, ledger, store):
     assert staged(spark, store) == [("A", "new", "2025-06-10", 5.0)]
 
 
+def test_an_incremental_run_keeps_appended_columns(spark, ledger, store):
+    raw = ledger(fee("A", "a", "2025-06-10", 5.0))
+    overwrite_table(
+        stage_fees(raw.withColumn("currency", F.lit("GBP")), extra_columns=["currency"]), store.path("stg_fees"), ["fee_date"]
+    )
+    load(store, raw.unionAll(ledger(fee("B", "a", "2025-06-10", 6.0))).where("client_id = 'B'"))
+    build_staging(spark, store)
+    table = spark.read.option("mergeSchema", True).parquet(store.path("stg_fees"))
+    assert rows(table, "client_id", "currency") == [("A", "GBP"), ("B", None)]
+
+
 def test_an_empty_target_stages_everything(spark, ledger, store):
     overwrite_table(stage_fees(ledger()), store.path("stg_fees"), ["fee_date"])
     load(store, ledger(fee("A", "a", "2020-01-01", 1.0), fee("B", "a", "2025-06-10", 1.0)))

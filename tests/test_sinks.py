@@ -83,7 +83,7 @@ def test_a_day_bigger_than_the_advisory_size_is_split(spark, path):
 
 
 def test_first_upsert_creates_the_table(spark, ledger, path):
-    upsert_by_partition(spark, path, staged(ledger, fee("A", "a", "2025-01-05", 1.0)), schema=STAGED_SCHEMA)
+    upsert_by_partition(spark, path, staged(ledger, fee("A", "a", "2025-01-05", 1.0)))
     assert len(read(spark, path)) == 1
 
 
@@ -93,7 +93,7 @@ def test_upsert_updates_inserts_and_repeats(spark, ledger, path):
     untouched = read_partitions(spark, path, "fee_date", [dt.date(2025, 1, 6)]).inputFiles()
     new = [fee("A", "a", "2025-01-05", 1.0, "new"), fee("D", "a", "2025-01-05", 2.0), fee("E", "a", "2025-01-09", 1.0)]
     for _ in range(2):
-        upsert_by_partition(spark, path, staged(ledger, *new), schema=STAGED_SCHEMA)
+        upsert_by_partition(spark, path, staged(ledger, *new))
         assert [(r[0], r[1]) for r in read(spark, path)] == [
             ("A", "new"), ("B", "NB"), ("C", "NC"), ("D", "ND"), ("E", "NE"),
         ]
@@ -112,7 +112,7 @@ def test_upsert_refuses_two_rows_for_one_key(spark, ledger, path):
 
 def test_an_empty_upsert_changes_nothing(spark, ledger, path):
     overwrite_table(staged(ledger, fee("A", "a", "2025-01-05", 1.0)), path, ["fee_date"])
-    upsert_by_partition(spark, path, staged(ledger), schema=STAGED_SCHEMA)
+    upsert_by_partition(spark, path, staged(ledger))
     assert len(read(spark, path)) == 1
 
 
