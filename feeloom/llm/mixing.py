@@ -34,16 +34,16 @@ def source_targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, max_epo
     weighted = materialize(weighted, "mix-weights")
     order = [(F.col("cap") / F.col("weight")), F.col("no_source"), F.col("source_name")]
     filled = prefix_sums(weighted, order, ["cap", "weight"], "mix-levels")
-    totals = weighted.agg(F.sum("source_size").alias("all_words"), F.sum("weight").alias("all_weight"))
-    # One row: an aggregate without keys.
-    levels = filled.join(F.broadcast(totals)).select(
-        (F.col("all_words") - F.col("before_cap")).alias("words"), (F.col("all_weight") - F.col("before_weight")).alias("left")
-    )
-    best = levels.agg(F.max_by(F.struct("words", "left"), F.struct(F.col("words") / F.col("left"), "left")).alias("level"))
-    share = F.col("weight").cast("decimal(38,0)") * F.col("level.words")
-    capped = F.col("cap").cast("decimal(38,0)") * F.col("level.left") <= share
-    target = F.when(capped, F.col("cap").cast("double")).otherwise(share.cast("double") / F.col("level.left").cast("double"))
-    planned = weighted.join(F.broadcast(best)).withColumn("target", target)
+    # Each of the two is one row.
+    totals = weighted.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weight")).first()
+    words, left = F.lit(totals["words"]) - F.col("before_cap"), F.lit(totals["weight"]) - F.col("before_weight")
+    levels = filled.select(words.cast("bigint").alias("words"), left.cast("bigint").alias("left"))
+    best = levels.agg(F.max_by(F.struct("words", "left"), F.struct(F.col("words") / F.col("left"), "left")).alias("level")).first()["level"]
+    level_words, level_left = (F.lit(best[i] if best else 1).cast("decimal(38,0)") for i in ("words", "left"))
+    share = F.col("weight") * level_words
+    capped = F.col("cap") * level_left <= share
+    target = F.when(capped, F.col("cap").cast("double")).otherwise(share.cast("double") / level_left.cast("double"))
+    planned = weighted.withColumn("target", target)
     return planned.select(
         "no_source", "source_name", "source_size", "ahead", "target",
         F.least(F.floor(F.col("target") + 0.5).cast("bigint"), F.col("cap")).alias("budget"),
@@ -63,6 +63,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: i
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
     )
+    # Written first: the range sort reads its input twice, and needs no texts.
+    sized = materialize(sized, "mix-sizes")
     order = [F.col("no_source"), F.col("source_name"), F.col("key"), F.col("doc_id"), F.col("size")]
     placed = materialize(prefix_sums(sized, order, ["size"], "mix-order"), "mix-placed")
     sources = placed.groupBy("no_source", "source_name").agg(F.sum("size").alias("source_size"))

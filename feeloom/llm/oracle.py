@@ -67,4 +67,30 @@ ORACLE_SQL = {
                          ELSE (budget // total) * size + greatest(0, least(size, budget % total - before)) END AS BIGINT) AS taken
         FROM placed
     """,
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+'), []) AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+                                           ELSE list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) END) AS s
+            FROM words
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM pairs p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)
+        ), both_ways AS (
+            SELECT a, b FROM links UNION SELECT b, a FROM links
+        ), reach AS (
+            SELECT a AS doc_id, a AS r FROM both_ways
+            UNION
+            SELECT t.b, r FROM reach JOIN both_ways t ON t.a = reach.doc_id
+        )
+        SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(min(r), w.doc_id) AS component_id
+        FROM words w LEFT JOIN sizes USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY w.doc_id, n
+    """,
 }

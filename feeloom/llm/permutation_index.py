@@ -115,7 +115,7 @@ def nearest_neighbours(
     left = vectors.select("vec_id", "v", part(row_blocks, 1).alias("row_block"), numbers(query_blocks).alias("query_block"))
     right = queries.select("vec_id", "v", part(query_blocks, 2).alias("query_block"), numbers(row_blocks).alias("row_block"))
 
-    def search(key, block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    def search(key: tuple, block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
         if len(block) and len(asked):
             block = block.sort_values("vec_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feeloom.llm import decontamination, line_dedup, mixing, permutation_index, secrets, token_counts, toxicity
+from feeloom.llm import decontamination, jaccard_join, line_dedup, mixing, permutation_index, secrets, token_counts, toxicity
 from feeloom.llm.common import read_table
 
 
@@ -38,4 +38,8 @@ def op9_token_counts(spark, sf_dir):
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}

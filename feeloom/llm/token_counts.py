@@ -50,9 +50,11 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     )
     # Suffix sums are prefix sums of the descending order.
     summed = prefix_sums(counts, [F.col("n_tokens").desc()], ["n_docs", "tokens"], "length-sums")
-    totals = counts.agg(F.sum("n_docs").alias("total_docs"), F.sum("tokens").alias("total_tokens"))
-    # One row: an aggregate without keys.
-    rows = summed.join(F.broadcast(totals)).withColumns({"docs_over": F.col("before_n_docs"), "tokens_over": F.col("before_tokens")})
+    totals = counts.agg(F.sum("n_docs").alias("docs"), F.sum("tokens").alias("tokens")).first()  # one row
+    rows = summed.withColumns({
+        "docs_over": F.col("before_n_docs"), "tokens_over": F.col("before_tokens"),
+        "total_docs": F.lit(totals["docs"]).cast("bigint"), "total_tokens": F.lit(totals["tokens"]).cast("bigint"),
+    })
     return rows.select(
         F.col("n_tokens").alias("context_limit"), "n_docs",
         (F.col("total_docs") - F.col("docs_over")).alias("docs_within"),
