@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeloom.llm import decontamination, line_dedup, mixing, toxicity
+from feeloom.llm import decontamination, jaccard_join, line_dedup, mixing, toxicity
 from feeloom.llm.common import materialize, read_table
 
 
@@ -21,6 +21,11 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return jaccard_join.keep_first_of_group(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     return decontamination.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
@@ -34,6 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", cut_repeated_lines),
+    ("jaccard_join", drop_near_copies),
     ("decontamination", drop_contaminated),
     ("mix", mix),
 ]
