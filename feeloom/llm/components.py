@@ -26,11 +26,10 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where(F.col("a") != F.col("b")).distinct()
-        large = materialize(large, f"{purpose}-{turn}a")
         # Now every link leads from a node to a smaller one.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        edges = materialize(small.where(F.col("a") != F.col("b")).distinct(), f"{purpose}-{turn}b")
+        edges = materialize(small.where(F.col("a") != F.col("b")).distinct(), f"{purpose}-{turn}")
         new = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()  # one row
         if new == state:
             break

@@ -247,7 +247,8 @@ def jaccard_links(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PER
     counts = groups.groupBy("component").agg(F.count("*").alias("members"))
     groups = groups.join(counts, "component").withColumn("blocks", F.ceil(F.col("members") / block_docs).cast("int"))
     groups = groups.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = docs.join(groups.withColumnRenamed("node", "doc_id"), "doc_id")
+    # The same join at every size, so that plans measured on small inputs hold on large ones.
+    members = docs.join(groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

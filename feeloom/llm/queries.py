@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feeloom.llm import decontamination, jaccard_join, line_dedup, mixing, permutation_index, secrets, token_counts, toxicity
+from feeloom.llm import bwt_dedup, chaining, decontamination, jaccard_join, line_dedup, mixing, permutation_index, secrets, token_counts, toxicity
 from feeloom.llm.common import read_table
 
 
@@ -16,6 +16,11 @@ def op2_permutation_index(spark, sf_dir):
     return permutation_index.search_by_modulus(read_table(spark, sf_dir, "embeddings"))
 
 
+def op3_bwt_dedup(spark, sf_dir):
+    cut = bwt_dedup.dedup_bytes(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+
+
 def op4_line_dedup(spark, sf_dir):
     kept = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks",
@@ -30,6 +35,10 @@ def op6_source_mix(spark, sf_dir):
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op7_chained_passages(spark, sf_dir):
+    return chaining.fuzzy_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark, sf_dir):
     return decontamination.benchmark_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
