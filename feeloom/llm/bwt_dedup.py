@@ -213,7 +213,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     texts = docs.where(F.octet_length("text") >= length).select("doc_id", F.xxhash64("text").alias("tid"), "text")
     seeds = materialize(_seeds(texts, length, seed), "repeat-seeds")
     counts = seeds.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    counts = counts.select("key", F.ceil(F.col("n") / GROUP_CONTEXTS).cast("int").alias("salts"))
+    # Written, so that both sides of the join come from exchanges and a hot seed can be split.
+    counts = materialize(counts.select("key", F.ceil(F.col("n") / GROUP_CONTEXTS).cast("int").alias("salts")), "repeat-counts")
     runs = seeds.join(counts, "key").groupBy("doc_id", "tid").agg(F.collect_list(F.struct("key", "lo", "hi", "salts")).alias("runs"))
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tid"))
     # The same join at every size, so that plans measured on small inputs hold on large ones.
