@@ -1,0 +1,365 @@
+"""The corpus operators against brute force, SQL and awkward inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feeloom.llm import (
+    bwt_dedup, chaining, components, decontamination, jaccard_join, line_dedup, mixing, permutation_index, secrets,
+    token_counts, toxicity,
+)
+from feeloom.llm.oracle import ORACLE_SQL
+from feeloom.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, n long, key string, rid long"
+
+
+def documents(spark, rows):
+    """Documents with columns whose names clash with those that operators use inside."""
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), 7, 7, "k", 7) for i, t, s in rows], DOCS)
+
+
+LONG = " ".join(f"word{i % 997}" for i in range(30_000))
+AWKWARD = [
+    (1, None, "a"), (2, "", "a"), (3, " \n\t ", None), (4, "one", "b"), (5, "one", "b"), (5, "one", "b"), (None, "no id", "c"),
+    (6, LONG, "b"), (7, LONG + " end", ""), (8, "ü\U0001f600\n\n\nü", "a"), (9, "x" * 5000, "a"), (10, "a b\nc d\na b\nc d", None),
+]
+SCHEMA = "doc_id long, toxic int"
+BENCH = "item_id long, text string"
+
+
+def run_all(spark, docs):
+    labels = spark.createDataFrame([(4, 1), (5, 0), (6, None), (None, 1)], SCHEMA)
+    bench = spark.createDataFrame([(1, "word1 word2 word3 word4 word5"), (2, None), (None, "one"), (3, "  ")], BENCH)
+    return {
+        "secrets": secrets.scan_secrets(docs), "bytes": bwt_dedup.dedup_bytes(docs), "lines": line_dedup.dedup_lines(docs),
+        "toxicity": toxicity.toxicity(docs, labels), "mix": mixing.mix_sources(docs), "chains": chaining.fuzzy_passages(docs),
+        "benchmark": decontamination.benchmark_matches(docs, bench), "lengths": token_counts.token_counts(docs),
+        "jaccard": jaccard_join.jaccard_components(docs), "near": jaccard_join.keep_first_of_group(docs),
+        "clean": decontamination.drop_contaminated(docs, bench),
+    }
+
+
+def test_awkward_rows(spark):
+    got = {k: v.collect() for k, v in run_all(spark, documents(spark, AWKWARD)).items()}
+    for name in ("secrets", "bytes", "lines", "toxicity", "mix", "chains", "jaccard"):
+        assert sorted(r["doc_id"] or 0 for r in got[name]) == sorted(i or 0 for i, _, _ in AWKWARD), name
+    assert {(r["doc_id"], r["n_bytes"]) for r in got["bytes"]} >= {(1, 0), (2, 0), (3, 4)}
+    assert {r["doc_id"] for r in got["benchmark"]} == {6, 7}
+    assert {r["doc_id"] for r in got["clean"]} == {None, 1, 2, 3, 4, 5, 8, 9, 10}
+    links = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got["jaccard"]}
+    assert links[1] == links[1][:1] + (1,) and links[1][0] == 0 and links[5][1] == 4 and links[7][1] == 6 and links[None][1] is None
+    assert sum(r["n_docs"] for r in got["lengths"]) == len(AWKWARD)
+    assert all(0 <= r["score"] <= 1 for r in got["toxicity"])
+
+
+def test_empty_tables(spark):
+    docs = documents(spark, [])
+    assert all(v.count() == 0 for v in run_all(spark, docs).values())
+    assert permutation_index.search_by_modulus(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    assert toxicity.toxicity(documents(spark, AWKWARD), spark.createDataFrame([], SCHEMA)).where("score = 0").count() == len(AWKWARD)
+    assert decontamination.benchmark_matches(documents(spark, AWKWARD), spark.createDataFrame([], BENCH)).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_sql(spark, name, sf):
+    got = QUERIES[name](spark, sf).toPandas()
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = db.execute(ORACLE_SQL[name]).fetchdf()
+    names = sorted(got.columns)
+    assert names == sorted(want.columns)
+    got, want = (d[names].sort_values(names).reset_index(drop=True) for d in (got, want))
+    assert got.equals(want.astype(got.dtypes))
+
+
+def test_mix_by_hand(spark):
+    rows = [(i, "w " * 10, "a") for i in range(10)] + [(100 + i, "w " * 10, "b") for i in range(200)] + [(500, "w " * 7, None)]
+    got = mixing.mix_sources(documents(spark, rows)).toPandas()
+    by = got.groupby(got["source"].fillna("~")).agg({"size": "sum", "taken": "sum", "target": "first"})
+    # a has 100 words and is capped at 300, null at 21; b gets the rest.
+    assert by["target"].to_dict() == {"a": 300.0, "b": 2107 - 321.0, "~": 21.0}
+    assert (by["taken"] == by["target"]).all() and (got["taken"] <= 3 * got["size"]).all()
+
+
+def brute_spans(text):
+    kinds = []
+    for m in re.finditer(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m.group(2)) >= 8:
+            kinds.append((m.start(), 0, "assign", m.end()))
+    kinds += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 16]
+    kinds += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 32]
+    return sorted(kinds)
+
+
+def test_secrets_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    hard = [
+        (9001, "token=secret=abcdefgh password=token: abcdefgh"), (9002, "AKIAAKIA1234567890 AKIA123"), (9003, "é\U0001f600 Api_Key : 'abcd.efg=1"),
+        (9004, "0123456789abcdef" * 2 + "g" + "f" * 31), (9005, "PASSWD=\nabcdefghij apikey=x"), (9006, 'secret"="' + "A" * 9), (9007, None),
+        (9008, "key Zx81kQpL7vR2mT9wBn4YcD3s here"), (9009, "internationalization_of_documentation and-a-very-long-identifier"),
+    ]
+    docs = docs.unionByName(spark.createDataFrame(hard, "doc_id long, text string"))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in secrets.scan_secrets(docs).collect():
+        want = brute_spans(texts[r["doc_id"]])
+        written = ",".join(f"{k}:{a}:{b}" for a, _, k, b in want)
+        assert r["base_sha256"] == hashlib.sha256(written.encode()).hexdigest(), r["doc_id"]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(w[1] == i for w in want) for i in range(3)]
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("random")] == [s for s in written.split(",") if s]
+        if r["doc_id"] >= 9000:
+            assert r["n_random"] == (r["doc_id"] == 9008), r["spans"]
+
+
+def test_secret_models_tell_random_from_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ratios = secrets.train_ratios(secrets.labelled_samples(spark, docs))
+    rng = random.Random(5)
+    strings = ["".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(32)) for _ in range(300)]
+    words = [r["w"] for r in docs.select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{16,}"), F.lit(0))).alias("w")).distinct().limit(300).collect()]
+    rows = spark.createDataFrame([(i, w) for i, w in enumerate(strings + words)], "doc_id long, text string")
+    hit = {r["doc_id"]: r["n_random"] for r in secrets.scan_secrets(rows, ratios).collect()}
+    assert sum(hit[i] > 0 for i in range(len(strings))) > 0.98 * len(strings)
+    assert sum(hit[len(strings) + i] > 0 for i in range(len(words))) == 0
+
+
+def test_neighbours(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    odd = [(90_001, None, 1), (90_000, [0.0] * 64, 1), (90_020, [float("nan")] + [1.0] * 63, 1), (90_040, [None] + [1.0] * 63, 1), (90_060, [float("inf")] * 64, 1),
+           (None, [1.0] * 64, 1)]
+    both = vectors.unionByName(spark.createDataFrame(odd, vectors.schema))
+    got = permutation_index.search_by_modulus(both).toPandas()
+    rows = vectors.orderBy("vec_id").toPandas()
+    x = np.array(rows["embedding"].tolist(), dtype=np.float64)
+    asked = np.flatnonzero(rows["vec_id"] % 20 == 0)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+    found = got.groupby("query_id")["vec_id"].apply(list)
+    assert sorted(found.index) == asked.tolist() and (got.groupby("query_id").size() == 20).all()
+    recall = np.mean([len(set(found[q]) & set(b.tolist())) / 20 for q, b in zip(asked, best, strict=True)])
+    assert recall >= 0.9, recall
+    assert np.allclose(got["score"], [scores[q // 20, v] for q, v in zip(got["query_id"], got["vec_id"], strict=True)], rtol=0, atol=1e-12)
+    ordered = got.sort_values(["query_id", "rank"])
+    assert (ordered["rank"].to_numpy().reshape(-1, 20) == np.arange(1, 21)).all()
+
+
+def test_neighbours_of_few_and_of_copies(spark):
+    few = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(60)] + [(20, [2.0, 1.0])], "vec_id long, embedding array<double>")
+    got = permutation_index.search_by_modulus(few, 20, 20).toPandas()
+    vectors = {i: np.array([i % 3, 1.0]) for i in range(60)}
+    for q in (0, 20, 40):
+        want = sorted((-float(vectors[q] @ v), i) for i, v in vectors.items() if i != q)[:20]
+        assert got[got["query_id"] == q].sort_values("rank")["vec_id"].tolist() == [i for _, i in want]
+    three = spark.createDataFrame([(0, [1.0]), (1, [2.0, 1.0]), (2, [-1.0])], "vec_id long, embedding array<double>")
+    assert [(r["vec_id"], r["score"]) for r in permutation_index.search_by_modulus(three).orderBy("rank").collect()] == [(1, 2.0), (2, -1.0)]
+
+
+def brute_bytes(rows, length):
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(b[s : s + length] for _, b in texts for s in range(len(b) - length + 1))
+    out = []
+    for i, b in texts:
+        gone = bytearray(len(b))
+        for s in range(len(b) - length + 1):
+            if seen[b[s : s + length]] > 1:
+                gone[s : s + length] = b"\1" * length
+        kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        runs = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
+        out.append((i, len(b), len(b) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("group", [2048, 4])
+def test_byte_repeats(spark, monkeypatch, group):
+    monkeypatch.setattr(bwt_dedup, "GROUP_CONTEXTS", group)
+    monkeypatch.setattr(bwt_dedup, "PIECE_BYTES", 700)
+    rng = random.Random(1)
+    some = lambda n: "".join(rng.choice("abcdé \n") for _ in range(n))
+    shared = [some(150) for _ in range(5)]
+    rows = [(i, some(rng.randrange(200)) + rng.choice(shared)[rng.randrange(30) : 120 + rng.randrange(30)] + some(rng.randrange(100))) for i in range(150)]
+    rows += [(500, "a" * 1000), (501, None), (502, ""), (503, rows[3][1]), (504, "ab" * 300), (None, rows[4][1]), (3, rows[3][1]), (505, "x" * 99),
+             (506, some(2500) + shared[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r)[:5] for r in bwt_dedup.dedup_bytes(docs, 100, 16).collect()]
+    assert sorted(got, key=str) == sorted(brute_bytes(rows, 100), key=str)
+
+
+def test_byte_repeats_of_the_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    got = [tuple(r)[:5] for r in QUERIES["op3_bwt_dedup"](spark, SF).collect()]
+    assert sorted(got) == sorted(brute_bytes(rows, 400))
+
+
+def test_line_dedup_keeps_the_first(spark):
+    block = "\n".join(f"line {i} of the notice" for i in range(30))
+    rows = [(2, f"intro two\n{block}\nend two", "a"), (1, f"a longer intro\nof several lines\nand one more\n{block}\nend one", "a"), (3, "alone\nalone", "b")]
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert got[1]["n_removed_lines"] == 0 and got[1]["text"] == rows[1][1] and got[3]["n_removed_lines"] == 0
+    assert got[2]["n_removed_lines"] >= 20 and got[2]["text"].startswith("intro two") and got[2]["text"].endswith("end two")
+    assert "".join(got[2]["text"]).count("\n") == got[2]["n_lines"] - got[2]["n_removed_lines"] - 1
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    scores = toxicity.toxicity(docs, labels).where("held_out").join(labels.select("doc_id", "toxic"), "doc_id").toPandas()
+    y, p = scores["toxic"].to_numpy(), scores["predicted"].to_numpy()
+    assert len(y) > 500
+    assert (p[y == 0] == 1).mean() < 0.05 and (p[y == 1] == 1).mean() > 0.55
+    assert docs.count() == toxicity.toxicity(docs, labels).count()
+
+
+def test_kernel_by_definition():
+    def slow(a, b, n=toxicity.ORDER, decay=toxicity.DECAY):
+        from itertools import combinations
+
+        def weights(s):
+            out: dict[str, float] = {}
+            for places in combinations(range(len(s)), n):
+                key = "".join(s[i] for i in places)
+                out[key] = out.get(key, 0.0) + decay ** (places[-1] - places[0] + 1)
+            return out
+
+        u, v = weights(a), weights(b)
+        return sum(w * v.get(k, 0.0) for k, w in u.items())
+
+    pairs = [("idiot", "id-iot"), ("moron", "m0oron"), ("abcabc", "abc"), ("worthless", "xworthlessx"), ("aa", "aa"), ("scum", "trash")]
+    got = toxicity.subsequence_kernel([a for a, _ in pairs], [b for _, b in pairs])
+    assert np.allclose(got, [slow(a, b) for a, b in pairs], rtol=1e-4, atol=1e-6)
+    near = toxicity.WordKernel(["worthless"]).values(["worthless", "worxthless", "wo.rth.less", "weather"])
+    assert near[0, 0] == pytest.approx(1, abs=1e-5) and near[1, 0] > 0.6 and near[2, 0] > 0.5 and near[3, 0] < 0.3
+    assert "idiot" in toxicity.words_in("you i d i o t there")
+
+
+def test_chains(spark):
+    rng = random.Random(2)
+    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    passages = [words(80) for _ in range(20)]
+    rows, exact = [], []
+    for i in range(100):
+        p, edits = list(passages[i % 20]), rng.choice([0, 0, 2, 4])
+        for _ in range(edits):
+            k = rng.randrange(len(p))
+            p[k : k + 1] = rng.choice([[], ["changed"], [p[k], "more"]])
+        rows.append((i, " ".join(words(rng.randrange(100)) + p + words(rng.randrange(100))), "a"))
+        exact.append(edits)
+    rows += [(1000 + i, " ".join(words(200)), "a") for i in range(30)] + [(2000, rows[0][1], "a")]
+    got = {r["doc_id"]: r for r in chaining.fuzzy_passages(documents(spark, rows)).collect()}
+    assert sum(got[i]["n_passages"] > 0 for i in range(100)) >= 99
+    assert not any(got[1000 + i]["n_passages"] for i in range(30))
+    assert got[2000]["spans"] == f"0:{got[2000]['n_words']}" == got[0]["spans"]
+
+
+def test_best_chain_against_all_chains():
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        parts = np.unique(np.column_stack([rng.integers(0, 60, 7), rng.integers(0, 60, 7), rng.integers(5, 15, 7)]), axis=0)
+
+        def value(chain, parts=parts):
+            total = float(parts[chain[0]][2])
+            for j, i in zip(chain[:-1], chain[1:], strict=True):
+                (xj, yj, sj), (xi, yi, si) = parts[j], parts[i]
+                if xi < xj + sj or yi < yj + sj:
+                    return -math.inf
+                total += si - chaining.GAP_COST * ((xi - xj - sj) + (yi - yj - sj))
+            return total
+
+        n = len(parts)
+        every = [[i for i in range(n) if mask >> i & 1] for mask in range(1, 1 << n)]
+        best = max(value(c) for c in every)
+        assert max(value(c) for c in chaining.best_chains(parts)) == pytest.approx(best)
+
+
+def test_benchmark_recall(spark):
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    rng = random.Random(3)
+    rows, want = [], {}
+    for i, r in enumerate(bench.orderBy("item_id").collect() * 2):
+        w = r["text"].split()
+        for _ in range(rng.choice([0, 1, int(0.1 * len(w)), int(0.2 * len(w))])):
+            k = rng.randrange(len(w))
+            w[k : k + 1] = rng.choice([[], ["zzq"], [w[k], "ins"]])
+        rows.append((i, " ".join(["before"] * rng.randrange(30) + w + ["after"] * 20), "a"))
+        want[i] = r["item_id"]
+    found = decontamination.benchmark_matches(documents(spark, rows), bench).collect()
+    assert sum(any(f["doc_id"] == i and f["item_id"] == k for f in found) for i, k in want.items()) >= 0.99 * len(want)
+    # Every match holds up against plain edit distance.
+    items = {r["item_id"]: decontamination.FOLD[np.frombuffer(r["text"].encode(), np.uint8)].tobytes().split() for r in bench.collect()}
+    texts = {i: decontamination.FOLD[np.frombuffer(t.encode(), np.uint8)].tobytes().split() for i, t, _ in rows}
+    for f in found[:100]:
+        a, b = items[f["item_id"]], texts[f["doc_id"]][f["start_word"] : f["end_word"]]
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        assert row[-1] == f["distance"] <= 0.2 * len(a)
+
+
+def test_length_histogram(spark):
+    lengths = [0, 0, 3, 5, 5, 5, 9]
+    got = {r["context_limit"]: r for r in token_counts.length_histogram(spark.createDataFrame([(n,) for n in lengths], "n_tokens long")).collect()}
+    assert sorted(got) == [0, 3, 5, 9]
+    for limit, r in got.items():
+        assert r["tokens_truncated"] == sum(min(n, limit) for n in lengths)
+        assert (r["docs_within"], r["docs_over"]) == (sum(n <= limit for n in lengths), sum(n > limit for n in lengths))
+        assert (r["tokens_within"], r["tokens_over"]) == (sum(n for n in lengths if n <= limit), sum(n for n in lengths if n > limit))
+        assert r["quantile"] == pytest.approx(r["docs_within"] / len(lengths))
+
+
+def test_token_lengths_round_trip(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    encoder = token_counts._encoder(token_counts.RANKS, token_counts.PATTERN)
+    texts = [r["text"] for r in docs.collect()]
+    assert all(encoder.decode(encoder.encode_ordinary(t)) == t for t in texts)
+    got = sorted(r["n_tokens"] for r in token_counts.token_lengths(docs).collect())
+    assert got == sorted(len(encoder.encode_ordinary(t)) for t in texts)
+
+
+@pytest.mark.parametrize("percent,size,block", [(85, 4, 512), (80, 5, 8), (60, 1, 4)])
+def test_jaccard_against_all_pairs(spark, percent, size, block):
+    rng = random.Random(percent)
+    rows = []
+    for i in range(60):
+        base = [f"w{rng.randrange(300)}" for _ in range(rng.choice([1, 2, 5, 20, 60]))]
+        for _ in range(rng.choice([1, 1, 4])):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 2])):
+                w[rng.randrange(len(w))] = f"w{rng.randrange(300)}"
+            rows.append((len(rows), " ".join(w).upper() if i % 2 else " ".join(w), "a"))
+    sets = {}
+    for i, t, _ in rows:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))}
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                o = len(sets[a] & sets[b])
+                if 100 * o >= percent * (len(sets[a]) + len(sets[b]) - o):
+                    label[a] = label[b] = min(label[a], label[b])
+        if all(label[label[i]] == label[i] for i in label):
+            break
+    named, links = jaccard_join.jaccard_links(documents(spark, rows), size, percent, block)
+    own = named.where("doc_id != rep").selectExpr("doc_id AS a", "rep AS b")
+    got = {r["node"]: r["component"] for r in components.components(links.unionByName(own)).collect()}
+    assert {i: got.get(i, i) for i in sets} == label
+    assert {r["doc_id"]: r["n_shingles"] for r in named.collect()} == {i: len(s) for i, s in sets.items()}
+
+
+def test_components_of_a_path(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (None, 3)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components.components(links).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
