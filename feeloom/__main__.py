@@ -3,13 +3,28 @@
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
+if not __package__:  # started by path
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from feeloom.operators.checks import ChecksFailed
 from feeloom.operators.reports import top_advisers
 from feeloom.plans.refresh import Warehouse, register_tables, run_refresh
+from feeloom.session import cluster_conf
+from feeloom.sources.files import glob_size, size_on_disk
+from feeloom.sources.tables import table_exists
+
+
+def size_shuffles(spark: SparkSession, store: Warehouse, glob: str | None) -> None:
+    """Settings of the session from the bytes that the run reads and the cores it has, before its first shuffle."""
+    raw = store.path("fees")
+    size = glob_size(spark, glob) if glob else size_on_disk(spark, raw)[0] if table_exists(spark, raw) else 0
+    for key, value in cluster_conf(size, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -27,6 +42,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName("feeloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     store = Warehouse(options.root.rstrip("/"), tuple(int(n) for n in options.windows.split(",")))
+    size_shuffles(spark, store, None if options.skip_ingest else options.glob)
     try:
         results = run_refresh(
             spark, store, options.glob, options.skip_ingest, options.skip_tests, options.full_refresh, options.gate

@@ -43,6 +43,12 @@ def units_to_double(units: Column, scale: int = MONEY_SCALE) -> Column:
 
 
 def exact_mean(units_sum: Column, count: Column, scale: int = MONEY_SCALE) -> Column:
-    """Mean rounded to 2 decimals, from an exact sum; independent of the engine's avg() result type."""
-    quotient = from_units(units_sum, scale) / count.cast("decimal(20,0)")
-    return F.round(quotient.cast("decimal(38,6)"), 2).cast("double")
+    """Mean rounded once to 2 decimals, half away from zero: integer division of the exact sum."""
+    return rounded_quotient(units_sum, count.cast("decimal(20,0)") * F.lit(10 ** (scale - 2)))
+
+
+def rounded_quotient(units: Column, parts: Column) -> Column:
+    """Hundredths ``units`` / ``parts`` as a DOUBLE with 2 decimals, rounded half away from zero in integers."""
+    wide, parts = units.cast("decimal(20,0)"), parts.cast("decimal(18,0)")
+    hundredths = F.call_function("div", (F.abs(wide) * 2 + parts).cast("decimal(38,0)"), parts * 2)
+    return F.when(wide < 0, -hundredths).otherwise(hundredths).cast("double") / F.lit(100.0)

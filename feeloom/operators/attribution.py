@@ -12,7 +12,8 @@ from feeloom.operators.clients import daily_units, last_touch, window_units
 from feeloom.operators.reports import adviser_ltv, client_values
 from feeloom.schemas import LTV_WINDOWS, ltv_column, ltv_columns
 
-CREDIT_SCALE = 6
+# Tenure is counted in millionths of a day, so that advisers can share one.
+DAY_UNITS = 1_000_000
 
 
 def last_touch_ltv(fees: DataFrame, ltv: DataFrame, windows: Sequence[int] = LTV_WINDOWS) -> DataFrame:
@@ -48,46 +49,46 @@ def fee_weighted_ltv(
 
 
 def adviser_tenure(fees: DataFrame) -> DataFrame:
-    """(client_id, adviser_id, tenure_days, client_days): days each adviser looked after a client.
+    """(client_id, adviser_id, tenure_units, client_units): millionths of a day each adviser looked after a client.
 
-    The adviser of a day's first fee (smallest fee_id) serves until the client's next fee day; the last fee day
-    counts one day. The rows of a client are cut to one per day before the exchange by client.
+    The advisers of a fee day share the time until the client's next fee day equally; the last fee day counts one day.
+    Every pair of client and adviser is counted. A client brings one row per day and adviser to its exchange.
     """
-    first_of_day = Window.partitionBy("client_id", "fee_date").orderBy("fee_id")
-    days = (
-        fees.select("client_id", "fee_date", "adviser_id", "fee_id")
-        .withColumn("rn", F.row_number().over(first_of_day))
-        .where("rn = 1")
-    )
-    by_day = Window.partitionBy("client_id").orderBy("fee_date")
-    until = F.coalesce(F.lead("fee_date").over(by_day), F.date_add("fee_date", 1))
-    served = days.select("client_id", "adviser_id", F.date_diff(until, F.col("fee_date")).alias("days"))
-    pairs = served.groupBy("client_id", "adviser_id").agg(F.sum("days").alias("tenure_days"))
-    whole = F.sum("tenure_days").over(Window.partitionBy("client_id"))
-    return pairs.withColumn("client_days", whole)
+    served = fees.select("client_id", "fee_date", "adviser_id").distinct()
+    days = served.groupBy("client_id", "fee_date").agg(F.count("*").alias("advisers"))
+    until = F.coalesce(F.lead("fee_date").over(Window.partitionBy("client_id").orderBy("fee_date")), F.date_add("fee_date", 1))
+    length = F.date_diff(until, F.col("fee_date")).cast("bigint") * DAY_UNITS
+    each = days.select("client_id", "fee_date", F.call_function("div", length, F.col("advisers")).alias("units"))
+    pairs = served.join(each, ["client_id", "fee_date"]).groupBy("client_id", "adviser_id").agg(F.sum("units").alias("tenure_units"))
+    return pairs.withColumn("client_units", F.sum("tenure_units").over(Window.partitionBy("client_id")))
 
 
 def time_weighted_ltv(fees: DataFrame, ltv: DataFrame, windows: Sequence[int] = LTV_WINDOWS) -> DataFrame:
-    """Adviser report splitting each client's value by tenure; shares are cut to a millionth, then summed exactly."""
-    tenure = adviser_tenure(fees)
-    values = client_values(tenure, ltv, windows)
-
-    def share(column: str):
-        # Pennies to millionths, times days, in DECIMAL: a BIGINT product could overflow.
-        finer = 10 ** (CREDIT_SCALE - MONEY_SCALE)
-        whole = F.expr(f"(CAST({column} AS DECIMAL(20,0)) * {finer} * tenure_days) div client_days")
-        return whole.alias(column)
+    """Adviser report splitting each client's value by tenure, in whole pennies.
 
+    Shares are cut to the penny; what is left of a client's value goes to the adviser with the longest tenure (the
+    smallest id of several), so the credits of a client add up to its value exactly.
+    """
+    values = client_values(adviser_tenure(fees), ltv, windows)
     names = ltv_columns(windows)
-    credits = values.select("adviser_id", "tenure_days", *[share(c) for c in names])
+
+    def share(column: str):
+        # In DECIMAL: a BIGINT product could overflow.
+        return F.expr(f"(CAST({column} AS DECIMAL(20,0)) * tenure_units) div client_units")
+
+    client = Window.partitionBy("client_id")
+    first = F.row_number().over(client.orderBy(F.desc("tenure_units"), "adviser_id")) == 1
+    split = values.select("client_id", "adviser_id", "tenure_units", first.alias("keeps_rest"), *names, *[share(c).alias(f"cut_{c}") for c in names])
+    left = {c: F.when(F.col("keeps_rest"), F.col(c) - F.sum(f"cut_{c}").over(client)).otherwise(F.lit(0)) for c in names}
+    credits = split.select("adviser_id", "tenure_units", *[(F.col(f"cut_{c}") + left[c]).alias(c) for c in names])
     sums = credits.groupBy("adviser_id").agg(
         F.count("*").alias("client_count"),
-        F.sum("tenure_days").alias("tenure_days"),
+        F.sum("tenure_units").alias("tenure_units"),
         *[F.sum(c).alias(c) for c in names],
     )
     return sums.select(
         "adviser_id",
         "client_count",
-        "tenure_days",
-        *[units_to_double(F.col(c), CREDIT_SCALE).alias(f"credited_{c}") for c in names],
+        (F.col("tenure_units") / float(DAY_UNITS)).alias("tenure_days"),
+        *[units_to_double(F.col(c)).alias(f"credited_{c}") for c in names],
     )

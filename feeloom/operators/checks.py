@@ -6,11 +6,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feeloom.functions.dates import in_first_months
-from feeloom.functions.money import MONEY_SCALE, to_units, units_to_double
+from feeloom.functions.money import MONEY_SCALE, rounded_quotient, to_units, units_to_double
 from feeloom.operators.clients import daily_units
 from feeloom.schemas import LTV_WINDOWS, ltv_column, ltv_columns
 
@@ -64,16 +64,30 @@ def financial_reconciliation(
     Totals of empty tables are NULL and compare as passing; ``guard_empty`` reports them.
     """
     reported = ltv.agg(F.sum(to_units(F.col("ltv_total"))).alias("reported"))
-    totals = fees.agg(F.sum(to_units(F.col("fee_amount"), scale)).alias("staged")).select(
+    staged = F.sum(to_units(F.col("fee_amount"), scale)).alias("staged")
+    totals = fees.agg(staged).select("staged", reported.scalar().alias("published"))
+    failed = totals_differ(F.col("staged"), F.col("published"), scale)
+    if guard_empty:
+        failed = failed | F.col("staged").isNull() | F.col("published").isNull()
+    return totals.where(failed).select(
         units_to_double(F.col("staged"), scale).alias("staging_total_fees"),
-        units_to_double(reported.scalar()).alias("reporting_total_fees"),
+        units_to_double(F.col("published")).alias("reporting_total_fees"),
+        units_to_double(_apart(F.col("staged"), F.col("published"), scale), scale).alias("discrepancy"),
     )
-    staged, published = F.col("staging_total_fees"), F.col("reporting_total_fees")
-    failed = beyond_tolerance([(staged, published)])
-    if guard_empty:
-        failed = failed | staged.isNull() | published.isNull()
-    difference = units_to_double(to_units(staged) - to_units(published))
-    return totals.withColumn("discrepancy", difference).where(failed)
+
+
+def _apart(staged: Column, published: Column, scale: int) -> Column:
+    """Staged total minus published total (in pennies), in units of ``scale``."""
+    return staged.cast("decimal(20,0)") - published.cast("decimal(20,0)") * F.lit(10 ** (scale - MONEY_SCALE))
+
+
+def totals_differ(staged: Column, published: Column, scale: int = MONEY_SCALE) -> Column:
+    """Whether two exact totals differ by more than the tolerance; no double is involved, however large they are.
+
+    Published values are rounded to pennies, staged ones may be finer: the published total is as exact as its pennies.
+    """
+    limit = round(MONEY_TOLERANCE * 10**scale)
+    return F.abs(_apart(staged, published, scale)) > limit
 
 
 def _too_many_lost(max_lost: float) -> Column:
@@ -88,19 +102,21 @@ def row_count_reconciliation(
     staged = fees.agg(F.count("*").alias("n"))
     counts = raw.agg(F.count("*").alias("raw_count")).select("raw_count", staged.scalar().alias("staging_count"))
     removed = F.col("raw_count") - F.col("staging_count")
-    share = removed.cast("decimal(20,0)") * 100 / F.nullif(F.col("raw_count"), F.lit(0)).cast("decimal(20,0)")
+    # Hundredths of a per cent, rounded once.
+    share = rounded_quotient(removed.cast("decimal(20,0)") * 10000, F.nullif(F.col("raw_count"), F.lit(0)))
     return counts.select(
         "raw_count",
         "staging_count",
         removed.alias("rows_removed"),
-        F.round(share.cast("decimal(38,6)"), 2).cast("double").alias("pct_removed"),
+        share.alias("pct_removed"),
     ).where(_too_many_lost(max_lost))
 
 
 def expected_ltv(fees: DataFrame, windows: Sequence[int] = LTV_WINDOWS, scale: int = MONEY_SCALE) -> DataFrame:
     """Lifetime values recomputed from the fees alone, with the first date taken by min() per client."""
-    first = fees.groupBy("client_id").agg(F.min("fee_date").alias("first_seen"))
-    days = daily_units(fees, "client_id", scale=scale).join(first, "client_id")
+    # One scan: the first date comes from the daily sums, still without the dimension.
+    first = F.min("fee_date").over(Window.partitionBy("client_id"))
+    days = daily_units(fees, "client_id", scale=scale).withColumn("first_seen", first)
     inside = {ltv_column(n): in_first_months(F.col("fee_date"), F.col("first_seen"), n) for n in windows}
     sums = [F.sum(F.when(test, F.col("units")).otherwise(F.lit(0))).alias(name) for name, test in inside.items()]
     totals = days.groupBy("client_id", "first_seen").agg(*sums, F.sum("units").alias("ltv_total"))
@@ -158,9 +174,9 @@ def _staging_profile(tables: Mapping[str, DataFrame], scale: int) -> DataFrame:
         F.count("*").alias("staging_count"),
         F.sum(to_units(F.col("fee_amount"), scale)).alias("staged"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
-    ).select("*", raw.scalar().alias("raw_count"), units_to_double(reported.scalar()).alias("published"))
-    totals = (units_to_double(F.col("staged"), scale), F.col("published"))
-    unbalanced = beyond_tolerance([totals]) | totals[0].isNull() | totals[1].isNull()
+    ).select("*", raw.scalar().alias("raw_count"), reported.scalar().alias("published"))
+    staged, published = F.col("staged"), F.col("published")
+    unbalanced = totals_differ(staged, published, scale) | staged.isNull() | published.isNull()
     results = {f"not_null stg_fees.{c}": F.col(f"null_{c}") for c in columns}
     results["financial reconciliation"] = unbalanced.cast("bigint")
     results["row count reconciliation"] = _too_many_lost(MAX_LOST_FRACTION).cast("bigint")

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feeloom.functions.money import exact_mean, to_units, units_to_double
-from feeloom.operators.ranking import rank_descending
+from feeloom.operators.ranking import rank_descending, value_band
 from feeloom.schemas import LTV_WINDOWS, adviser_ltv_schema, cohort_ltv_schema, ltv_column, ltv_columns
 
-MEDIAN_ACCURACY = 10000
-
 
 def client_values(
     clients: DataFrame, ltv: DataFrame, windows: Sequence[int] = LTV_WINDOWS
@@ -26,6 +24,25 @@ def _total(column: str) -> Column:
     return units_to_double(F.col(column))
 
 
+def exact_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """(key, out): the value at place ceil(n / 2) of each key's n sorted values (BIGINT, NULLs left out).
+
+    Equal values are counted first, map-side. The distinct values of a key are cut into bands by a monotone function;
+    the band totals show which band holds the place, and only the values of that band meet in one task.
+    """
+    counts = df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_band", value_band(value))
+    preceding = (Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(key)
+    bands = counts.groupBy(key, "_band").agg(F.sum("_n").alias("_in_band"))
+    before = F.coalesce(F.sum("_in_band").over(whole.orderBy("_band").rowsBetween(*preceding)), F.lit(0))
+    bands = bands.withColumns({"_before": before, "_place": F.floor((F.sum("_in_band").over(whole) + 1) / 2).cast("bigint")})
+    middle = bands.where((F.col("_before") < F.col("_place")) & (F.col("_before") + F.col("_in_band") >= F.col("_place")))
+    inside = counts.join(middle.select(key, "_band", "_before", "_place"), [key, "_band"])
+    reached = F.col("_before") + F.sum("_n").over(Window.partitionBy(key, "_band").orderBy(value))
+    return inside.withColumn("_reached", reached).where("_reached >= _place").groupBy(key).agg(F.min(value).alias(out))
+
+
 def cohort_ltv_from_values(values: DataFrame, windows: Sequence[int] = LTV_WINDOWS) -> DataFrame:
     """Cohort report from client_values()."""
     longest = ltv_column(max(windows))
@@ -33,8 +50,8 @@ def cohort_ltv_from_values(values: DataFrame, windows: Sequence[int] = LTV_WINDO
     sums = values.groupBy("cohort_month").agg(
         F.count("*").alias("client_count"),
         *[F.sum(ltv_column(n)).alias(ltv_column(n)) for n in windows],
-        F.percentile_approx(longest, 0.5, MEDIAN_ACCURACY).alias("median"),
     )
+    sums = sums.join(exact_median(values, "cohort_month", longest, "median"), "cohort_month", "left")
     return sums.select(
         "cohort_month",
         "client_count",
@@ -65,9 +82,9 @@ def adviser_ltv_from_values(
 
 
 def cohort_ltv(clients: DataFrame, ltv: DataFrame, windows: Sequence[int] = LTV_WINDOWS) -> DataFrame:
-    """Per cohort month: clients, average and total lifetime value per window, approximate median of the longest.
+    """Per cohort month: clients, average and total lifetime value per window, median of the longest.
 
-    The median is an observed value and approximate beyond 10,000 distinct values in a cohort.
+    The median is the lower one of two middle values, exact for any number of clients.
     """
     return cohort_ltv_from_values(client_values(clients, ltv, windows), windows)
 

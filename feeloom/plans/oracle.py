@@ -80,8 +80,15 @@ def values(stg: str = "stg", dim: str = "dim", name: str = "ltv", windows=(1, 3,
   GROUP BY f.client_id, c.first_fee_date)"""
 
 
+def hundredths(units: str, parts: str) -> str:
+    """units / parts / 100 with 2 decimals, half away from zero: the quotient and the remainder decide."""
+    up = f"CASE WHEN 2 * (abs({units}) % {parts}) >= {parts} THEN 1 ELSE 0 END"
+    return f"CAST(sign({units}) * (abs({units}) // {parts} + {up}) AS DOUBLE) / 100"
+
+
 def mean(total: str, count: str) -> str:
-    return f"CAST(round(CAST({total} / {count} AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    """Mean of an amount in pounds, to pennies."""
+    return hundredths(f"CAST({total} * 100 AS HUGEINT)", count)
 
 
 def dbl(expression: str) -> str:
@@ -219,23 +226,13 @@ stats AS (SELECT fee_date, fees, u, count(*) {frame} AS n, CAST(sum(u) {frame} A
                  CAST(sum(u * u) {frame} AS HUGEINT) AS ss FROM daily),
 shown AS (
   SELECT fee_date, fees, CAST(CAST(u AS DECIMAL(38,0)) / 100 AS DOUBLE) AS total_fees,
-         CASE WHEN n >= 2 THEN CAST(round(CAST(s / 100.0 / n AS DECIMAL(38,6)), 2) AS DOUBLE) END AS expected_fees,
+         CASE WHEN n >= 2 THEN {hundredths('s', 'n')} END AS expected_fees,
          CASE WHEN n >= 2 THEN round(sqrt(CAST(ss * n - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)) / 100.0, 2)
          END AS deviation
   FROM stats)
 SELECT *, coalesce(abs(total_fees - expected_fees) > deviation * {sigmas}, false) AS anomalous FROM shown"""
 
 
-def shares(column: str) -> str:
-    units = f"CAST(CAST({column} * 100 AS DECIMAL(38,0)) AS HUGEINT)"
-    return f"({units} * 10000 * tenure_days) // client_days"
-
-
-def millionths(expression: str) -> str:
-    return (
-        f"CAST(round(CAST({expression} AS DECIMAL(30,0)) * CAST(0.000001 AS DECIMAL(6,6)), 2) AS DOUBLE)"
-    )
-
 
 def layer_rows(prefix: str = "") -> dict[str, str]:
     return {
@@ -317,7 +314,7 @@ FROM (SELECT (SELECT sum(fee_amount) FROM stg_faulty) AS s, (SELECT sum(ltv_tota
 WHERE abs(s - r) > 0.01"""
     q["check_row_counts"] = with_(LINES, ledger("bulky"), staged()) + """
 SELECT r AS raw_count, s AS staging_count, r - s AS rows_removed,
-       CAST(round(CAST((r - s) * 100 / CAST(nullif(r, 0) AS DOUBLE) AS DECIMAL(38,6)), 2) AS DOUBLE) AS pct_removed
+       """ + hundredths("((r - s) * 10000)", "nullif(r, 0)") + """ AS pct_removed
 FROM (SELECT (SELECT count(*) FROM raw_fees) AS r, (SELECT count(*) FROM stg) AS s)
 WHERE s > r OR r - s > r * 0.05"""
     pairs = [("e1", "ltv_1_month"), ("e3", "ltv_3_month"), ("e6", "ltv_6_month"), ("et", "ltv_total")]
@@ -354,15 +351,21 @@ SELECT f.adviser_id, count(DISTINCT f.client_id) AS client_count,
 FROM stg f JOIN dim c ON f.client_id = c.client_id GROUP BY f.adviser_id"""
     names = ["ltv_1_month", "ltv_3_month", "ltv_6_month", "ltv_total"]
     q["time_weighted"] = f"""{clean},
-days AS (SELECT client_id, fee_date, adviser_id FROM
-  (SELECT *, row_number() OVER (PARTITION BY client_id, fee_date ORDER BY fee_id) AS rn FROM stg) WHERE rn = 1),
-served AS (SELECT client_id, adviser_id, coalesce(lead(fee_date) OVER (PARTITION BY client_id ORDER BY fee_date),
-                  CAST(fee_date + INTERVAL 1 DAY AS DATE)) - fee_date AS days FROM days),
-pairs AS (SELECT client_id, adviser_id, sum(days) AS tenure_days FROM served GROUP BY 1, 2),
-whole AS (SELECT client_id, sum(days) AS client_days FROM served GROUP BY 1)
-SELECT p.adviser_id, count(*) AS client_count, CAST(sum(tenure_days) AS BIGINT) AS tenure_days,
-       {", ".join(millionths(f"sum({shares(c)})") + f" AS credited_{c}" for c in names)}
-FROM pairs p JOIN whole w ON p.client_id = w.client_id JOIN ltv l ON p.client_id = l.client_id
+days AS (SELECT DISTINCT client_id, fee_date, adviser_id FROM stg),
+per_day AS (SELECT client_id, fee_date, count(*) AS k,
+                   coalesce(lead(fee_date) OVER (PARTITION BY client_id ORDER BY fee_date), CAST(fee_date + INTERVAL 1 DAY AS DATE)) - fee_date AS len
+            FROM days GROUP BY client_id, fee_date),
+pairs AS (SELECT client_id, adviser_id, CAST(sum(len * 1000000 // k) AS HUGEINT) AS w
+          FROM days JOIN per_day USING (client_id, fee_date) GROUP BY client_id, adviser_id),
+cuts AS (SELECT p.client_id, adviser_id, w, row_number() OVER (PARTITION BY p.client_id ORDER BY w DESC, adviser_id) = 1 AS rest,
+                {", ".join(f"CAST({c} * 100 AS HUGEINT) AS {c}, CAST({c} * 100 AS HUGEINT) * w // CAST(sum(w) OVER (PARTITION BY p.client_id) AS HUGEINT) AS cut_{c}" for c in names)}
+         FROM pairs p JOIN ltv l ON p.client_id = l.client_id),
+credits AS (SELECT adviser_id, w,
+                   {", ".join(f"cut_{c} + CASE WHEN rest THEN {c} - sum(cut_{c}) OVER (PARTITION BY client_id) ELSE 0 END AS {c}" for c in names)}
+            FROM cuts)
+SELECT p.adviser_id, count(*) AS client_count, CAST(sum(w) AS DOUBLE) / 1000000 AS tenure_days,
+       {", ".join(f"CAST(sum({c}) AS DOUBLE) / 100 AS credited_{c}" for c in names)}
+FROM credits p
 GROUP BY p.adviser_id"""
 
     q["freshness"] = with_(LINES) + """
@@ -396,8 +399,7 @@ UNION ALL SELECT 'unique client_id', count(*) FROM
     q["reconcile_ltv"] = (
         with_(
             *FAULTY_BESIDE_CLEAN,
-            "later AS (SELECT * FROM stg_faulty WHERE fee_date > DATE '1995-12-31')",
-            EXPECTED.format(stg="later"),
+            EXPECTED.format(stg="stg_faulty"),
         )
         + """
 SELECT * FROM (

@@ -282,8 +282,7 @@ def matured_cohorts(spark, sf_dir):
 
 def reconcile_ltv(spark, sf_dir):
     ltv = _client_tables(_staged(spark, sf_dir))[1]
-    later = _staged(spark, sf_dir, "faulty").where(F.col("fee_date") > F.lit(dt.date(1995, 12, 31)))
-    return monitoring.reconcile_ltv(later, ltv)
+    return monitoring.reconcile_ltv(_staged(spark, sf_dir, "faulty"), ltv)
 
 
 def compare_builds(spark, sf_dir):

@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from feeloom.schemas import FEE_COLUMNS, FEE_SCHEMA
-from feeloom.sources.files import largest_file
-from feeloom.sources.split_csv import csv_records
 
-# Up to this size one task per file is fine.
-WHOLE_FILE_BYTES = 1 << 30
 CORRUPT = "_corrupt_record"
 
 
@@ -28,28 +24,15 @@ def has_quoted_newlines(spark: SparkSession, glob: str) -> bool:
     return not lines.where(quotes % 2 == 1).isEmpty()
 
 
-def _layout(spark: SparkSession, glob: str) -> str:
-    """How to read ``glob``: 'whole' files, plain 'lines', or 'records' that span lines of files worth splitting."""
-    if largest_file(spark, glob) <= WHOLE_FILE_BYTES:
-        return "whole"
-    return "records" if has_quoted_newlines(spark, glob) else "lines"
-
-
-def _read(
-    spark: SparkSession, glob: str, schema: StructType, quoted_newlines: bool | None, header: list[str], **options
-) -> DataFrame:
+def _read(spark: SparkSession, glob: str, schema: StructType, quoted_newlines: bool, **options) -> DataFrame:
     """Rows of ``schema`` and their source_file."""
-    options["escape"] = '"'
-    layout = _layout(spark, glob) if quoted_newlines is None else "whole" if quoted_newlines else "lines"
-    if layout == "records":
-        loose = StructType([StructField(f.name, f.dataType) for f in schema.fields])
-        parsed = F.from_csv("record", loose.simpleString()[len("struct<") : -1].replace(":", " "), options)
-        rows = csv_records(spark, glob, header).select("source_file", parsed.alias("row"))
-        return rows.select("row.*", "source_file")
+    if not quoted_newlines and has_quoted_newlines(spark, glob):
+        raise ValueError(f"a line of {glob} ends inside quotes; read it with quoted_newlines=True")
     reader = spark.read.schema(schema).options(
         header=True,
         enforceSchema=False,  # a header whose names do not match is an error
-        multiLine=layout == "whole",
+        multiLine=quoted_newlines,
+        escape='"',
         columnPruning=False,  # split whole records, so a short or long row is seen whatever is selected
         **options,
     )
@@ -60,19 +43,20 @@ def read_fees_csv(
     spark: SparkSession,
     glob: str,
     schema: StructType = FEE_SCHEMA,
-    quoted_newlines: bool | None = None,
+    quoted_newlines: bool = True,
 ) -> DataFrame:
     """All rows of the files matching ``glob``. Short rows, extra columns and unparsable values fail the job.
 
     A value is parsed when its column is used: a load that writes every column sees every bad value, a bare
     count() sees only short and long rows.
 
-    ``quoted_newlines``: True parses each file in one task, False splits files at any newline. By default files
-    up to 1 GiB are parsed whole; for bigger ones the text is scanned first, and they are split at any newline
-    or, if a quoted newline is really there, at the records (csv_records).
+    ``quoted_newlines``: with True (the default, whatever the size of a file) quoted cells may hold newlines, and each
+    file is parsed in one task, so many moderate files spread better than a few huge ones. With False files are split
+    at newlines and read in parallel; a file in which any line ends inside quotes is refused first, by a scan of the
+    lines, and lines of blanks are skipped.
     """
     names = schema.fieldNames()
-    return _read(spark, glob, schema, quoted_newlines, names, mode="FAILFAST").select(*names)
+    return _read(spark, glob, schema, quoted_newlines, mode="FAILFAST").select(*names)
 
 
 def require_not_null(df: DataFrame, columns: list[str] = FEE_COLUMNS) -> DataFrame:
@@ -91,7 +75,7 @@ def quarantine_fees_csv(
     spark: SparkSession,
     glob: str,
     schema: StructType = FEE_SCHEMA,
-    quoted_newlines: bool | None = None,
+    quoted_newlines: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): bad records are set aside with their file and a reason instead of failing the load.
 
@@ -103,7 +87,6 @@ def quarantine_fees_csv(
         glob,
         permissive,
         quoted_newlines,
-        schema.fieldNames(),
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT,
     )

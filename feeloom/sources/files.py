@@ -11,15 +11,10 @@ def hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def largest_file(spark: SparkSession, glob: str) -> int:
-    """Size in bytes of the biggest file that ``glob`` matches (0 if none)."""
+def glob_size(spark: SparkSession, glob: str) -> int:
+    """Bytes of the files, and below the folders, that ``glob`` matches."""
     fs, target = hadoop_path(spark, glob)
-    biggest = 0
-    for status in fs.globStatus(target) or []:
-        children = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
-        for child in children:
-            biggest = max(biggest, child.getLen())
-    return biggest
+    return sum(fs.getContentSummary(status.getPath()).getLength() for status in fs.globStatus(target) or [])
 
 
 def size_on_disk(spark: SparkSession, path: str) -> tuple[int, int]:

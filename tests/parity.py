@@ -52,7 +52,7 @@ def compare(spark, connection, sf_dir: str, name: str) -> str | None:
 
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(entry_module.queries())
+    names = sys.argv[2:] or list(entry_module.oracle_sql())
     spark = local_session("parity")
     connection = oracle_connection(sf_dir)
     failures = 0

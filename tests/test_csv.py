@@ -1,10 +1,7 @@
-import random
-
 import pytest
 
 from feeloom.plans.refresh import Warehouse, ingest_fees
-from feeloom.sources import csv_files
-from feeloom.sources.csv_files import has_quoted_newlines, quarantine_fees_csv, read_fees_csv, require_not_null
+from feeloom.sources.csv_files import quarantine_fees_csv, read_fees_csv, require_not_null
 from tests.conftest import rows
 
 HEADER = "client_id,client_nino,adviser_id,fee_date,fee_amount\n"
@@ -29,107 +26,44 @@ def test_reads_every_file_of_the_glob(spark, files):
     assert [f.dataType.simpleString() for f in fees.schema] == ["string", "string", "string", "date", "double"]
 
 
-@pytest.mark.parametrize("quoted_newlines", [None, True])
-def test_quoted_newlines_and_doubled_quotes(spark, files, quoted_newlines):
+def test_quoted_newlines_and_doubled_quotes(spark, files):
     text = HEADER + '"A\nx","N""1",a1,2025-01-05,1.5\n'
-    fees = read_fees_csv(spark, files(one=text), quoted_newlines=quoted_newlines)
+    fees = read_fees_csv(spark, files(one=text))
     assert rows(fees, "client_id", "client_nino") == [("A\nx", 'N"1')]
 
 
-@pytest.fixture
-def tiny_blocks(spark, monkeypatch):
-    """Every file counts as big, and is read in blocks of 200 bytes."""
-    monkeypatch.setattr(csv_files, "WHOLE_FILE_BYTES", 1)
-    settings = {"spark.sql.files.maxPartitionBytes": "200", "spark.sql.files.openCostInBytes": "200"}
-    before = {k: spark.conf.get(k) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in before.items():
-        spark.conf.set(k, v)
-
-
-def test_big_files_are_split_where_they_can_be(spark, files, tiny_blocks):
-    plain = files(one=GOOD + '"C, D",N3,a1,2025-01-07,1\n')
-    assert not has_quoted_newlines(spark, plain)
-    assert csv_files._layout(spark, plain) == "lines"
-    assert read_fees_csv(spark, plain).count() == 3
-    quoted = files(two=HEADER + '"A\nx",N1,a1,2025-01-05,1.5\n')
-    assert has_quoted_newlines(spark, quoted)
-    assert csv_files._layout(spark, quoted) == "records"
-    assert read_fees_csv(spark, quoted).count() == 4
-
-
-def quoted(cell, always):
-    return '"' + cell.replace('"', '""') + '"' if always or any(c in cell for c in ',"\n') else cell
-
-
-@pytest.mark.parametrize("seed", range(6))
-def test_split_records_equal_the_whole_file_reader(spark, tmp_path, tiny_blocks, seed):
-    dice = random.Random(seed)
-
-    def cell():
-        return "x" + "".join(dice.choices('ab,"\n ', k=dice.randint(0, 12))) + "x"
-
-    expected = []
-    for i in range(3):
-        end, lines = "\r\n" if i == 1 else "\n", []
-        for n in range(dice.randint(1, 60)):
-            a, b = cell(), cell()
-            expected.append((a, b))
-            lines.append(f"{quoted(a, dice.random() < 0.3)},{quoted(b, False)},a1,2025-01-05,{n}.5")
-        with open(tmp_path / f"{i}.csv", "w", newline="") as out:
-            out.write(end.join([HEADER.strip(), *lines]) + (end if i else ""))
-    # One more file, so that records are put together even if no newline was drawn.
-    (tmp_path / "last.csv").write_text(HEADER + '"A\n\nx",N1,a1,2025-01-05,1.5\n\n')
-    glob = f"{tmp_path}/*.csv"
-    assert csv_files._layout(spark, glob) == "records"
-    split = read_fees_csv(spark, glob)
-    assert rows(split, "client_id", "client_nino") == sorted([*expected, ("A\n\nx", "N1")])
-    assert rows(split, "*") == rows(read_fees_csv(spark, glob, quoted_newlines=True), "*")
-
-
-@pytest.mark.parametrize("padding", range(0, 60, 7))
-def test_a_last_block_without_a_record_start(spark, files, tiny_blocks, padding):
-    rest = "y" * padding + '\n\nz",N1,a1,2025-01-05,1.5\n'
-    glob = files(one=GOOD + "B,N2,a2,2025-01-06,-2\n" * 4 + '"A\nx' + rest)
-    assert ("A\nx" + "y" * padding + "\n\nz",) in rows(read_fees_csv(spark, glob), "client_id")
-    assert read_fees_csv(spark, glob).count() == 7
-
-
-SPANNING = '"A\nx",N1,a1,2025-01-05,1.5\n'
-BAD_SPLITS = {
-    "short row": HEADER + SPANNING + "A,N1,a1,2025-01-05\n",
-    "extra column": HEADER + SPANNING + "A,N1,a1,2025-01-05,1,2\n",
-    "bad number": HEADER + SPANNING + "A,N1,a1,2025-01-05,one\n",
-    "swapped header": "client_nino,client_id,adviser_id,fee_date,fee_amount\n" + SPANNING,
-    "stray quote": HEADER + SPANNING + 'A,N"1,a1,2025-01-05,1\nB,N2,a1,2025-01-05,1\nC,N"3,a1,2025-01-05,1\n',
-    "field over two blocks": HEADER + '"' + "line\n" * 200 + '",N1,a1,2025-01-05,1\n' + SPANNING,
+TRICKY = {
+    "newlines": HEADER + '"A\nx",N1,a1,2025-01-05,1.5\n"A\n\nx","N,2",a1,2025-01-05,2.5\n',
+    "carriage returns": HEADER.strip() + '\r\n"A\r\nx",N1,a1,2025-01-05,1.5\r\nB,N2,a1,2025-01-05,1\r\n',
+    "stray quote": HEADER + 'a"b,N1,a1,2025-01-05,1\n',
 }
 
 
-@pytest.mark.parametrize("case", BAD_SPLITS)
-def test_split_records_fail_loudly(spark, files, tiny_blocks, case):
-    glob = files(bad=BAD_SPLITS[case])
-    assert csv_files._layout(spark, glob) == "records"
-    with pytest.raises(Exception, match="(?i)malformed|header|quote"):
-        read_fees_csv(spark, glob).collect()
-
-
-def test_a_field_over_one_whole_block(spark, files, tiny_blocks):
-    field = "line\n" * 60
-    fees = read_fees_csv(spark, files(one=HEADER + f'"{field}",N1,a1,2025-01-05,1\n' + SPANNING))
-    assert rows(fees, "client_id") == [("A\nx",), (field,)]
-
-
-def test_quarantine_over_split_records(spark, files, tiny_blocks):
-    text = GOOD + SPANNING + "C,N3,a1,2025-01-07\nD,N4,a1,2025-01-08,x\nE,,,2025-01-09,1\n"
-    accepted, rejected = quarantine_fees_csv(spark, files(one=text))
-    assert rows(accepted, "client_id") == [("A",), ("A\nx",), ("B",)]
-    assert [r[0] for r in rows(rejected, "reason")] == [
-        "malformed record", "malformed record", "missing required: client_nino, adviser_id",
-    ]
-    assert rejected.where("source_file LIKE '%one.csv'").count() == 3
+@pytest.mark.parametrize("case", TRICKY)
+def test_the_size_of_a_file_changes_nothing(spark, files, case):
+    glob = files(one=TRICKY[case])
+    settings = {"spark.sql.files.maxPartitionBytes": "40", "spark.sql.files.openCostInBytes": "40"}
+    before = {k: spark.conf.get(k) for k in settings}
+    whole = rows(read_fees_csv(spark, glob), "*")
+    assert len(whole) == TRICKY[case].count("2025")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert rows(read_fees_csv(spark, glob), "*") == whole
+        accepted, rejected = quarantine_fees_csv(spark, glob)
+        assert rows(accepted, "*") == whole and rejected.isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_split_files_refuse_quoted_newlines(spark, files):
+    plain = files(one=GOOD + '"C, D",N3,a1,2025-01-07,1\n')
+    assert read_fees_csv(spark, plain, quoted_newlines=False).count() == 3
+    quoted = files(two=TRICKY["newlines"])
+    for read in (read_fees_csv, quarantine_fees_csv):
+        with pytest.raises(ValueError, match="inside quotes"):
+            read(spark, quoted, quoted_newlines=False)
 
 
 BAD_FILES = {

@@ -105,13 +105,22 @@ def test_trace_reaches_the_file(spark, ledger, tmp_path):
 def test_time_weighted_by_hand(ledger):
     """x serves 1 to 11 January (10 days), y 11 January and the last fee day (1 day each... 11 to 16, then one)."""
     staged = stage_fees(ledger(fee("A", "x", "2025-01-01", 50.0), fee("A", "y", "2025-01-11", 20.0), fee("A", "y", "2025-01-16", 10.0)))
-    assert rows(attribution.adviser_tenure(staged), "*") == [("A", "x", 10, 16), ("A", "y", 6, 16)]
+    assert rows(attribution.adviser_tenure(staged), "*") == [("A", "x", 10_000_000, 16_000_000), ("A", "y", 6_000_000, 16_000_000)]
     ltv = client_ltv(staged, client_dimension(staged))
     assert rows(attribution.time_weighted_ltv(staged, ltv), "adviser_id", "client_count", "credited_ltv_total") == [
         ("x", 1, 50.0), ("y", 1, 30.0),
     ]
 
 
+def test_advisers_of_one_day_share_it_and_pennies_add_up(ledger):
+    """x, y and z meet on the only day: a third of a day each; of ten pennies the first keeps the one left over."""
+    staged = stage_fees(ledger(fee("A", "x", "2025-01-01", 0.04), fee("A", "y", "2025-01-01", 0.03), fee("A", "z", "2025-01-01", 0.03)))
+    ltv = client_ltv(staged, client_dimension(staged))
+    assert rows(attribution.time_weighted_ltv(staged, ltv), "adviser_id", "client_count", "tenure_days", "credited_ltv_total") == [
+        ("x", 1, 0.333333, 0.04), ("y", 1, 0.333333, 0.03), ("z", 1, 0.333333, 0.03),
+    ]
+
+
 def test_fee_weighted_and_last_touch_by_hand(ledger):
     staged = stage_fees(ledger(fee("A", "x", "2025-01-01", 50.0), fee("A", "y", "2025-03-11", 20.0), fee("B", "y", "2025-01-16", 10.0)))
     dimension = client_dimension(staged)
