@@ -15,7 +15,7 @@ from feeloom.llm.components import components
 
 SHINGLE_WORDS = 4
 PERCENT = 85
-BLOCK_DOCS = 512
+BLOCK_DOCS = 1024
 BLOCK_COLUMNS = 4096
 
 
@@ -73,7 +73,8 @@ def block_keys(firsts: np.ndarray, values: np.ndarray, percent: int) -> tuple[np
         if len(some) == 0:
             continue
         apart = most_differences(class_top(c, percent), percent)
-        blocks = apart + 1 + np.where(apart > 0, np.maximum(1, apart // 8), 0)
+        spare = np.where(apart > 0, np.maximum(1, apart // 3), 0)
+        blocks = apart + 1 + spare
         starts = np.cumsum(blocks) - blocks
         total = int(blocks.sum())
         local = np.full(len(counts), -1)
@@ -89,8 +90,12 @@ def block_keys(firsts: np.ndarray, values: np.ndarray, percent: int) -> tuple[np
         slot_row = np.repeat(np.arange(len(some)), blocks)
         nth = np.arange(total) - starts[slot_row]
         empty = np.bincount(slot_row[sizes == 0], minlength=len(some))
-        # An empty block says little. It is needed only where the equal blocks might all be empty.
-        wanted = (sizes > 0) | (empty >= blocks - apart)[slot_row]
+        # Two linked sets agree in more blocks than are spare. The fullest of these is not among the spare ones that are
+        # emptiest in either set, so those give no key; an empty block does only where all equal ones might be empty.
+        ranked = np.lexsort((nth, sizes, slot_row))
+        place = np.empty(total, np.int64)
+        place[ranked] = np.arange(total) - starts[slot_row[ranked]]
+        wanted = (place >= spare[slot_row]) & ((sizes > 0) | (empty > spare)[slot_row])
         key = mix64(sums + mix64(sizes.astype(np.uint64) * np.uint64(2654435761) + nth.astype(np.uint64)))
         key = mix64(key + mix64(c[slot_row].astype(np.uint64) + np.uint64(77)))
         out_rows.append(some[slot_row[wanted]])
