@@ -209,5 +209,7 @@ def trace_to_raw(raw: DataFrame, fees: DataFrame, clients: DataFrame, scale: int
     Read ``raw`` with ``_metadata.file_path`` selected to trace on to the file.
     """
     counted = fees.join(clients.select("client_id"), "client_id", "left_semi").select("fee_id")
-    complete = drop_incomplete(raw).withColumn("fee_id", fee_key(scale))
+    # The key holds the client, so only rows of these clients are hashed and dealt out.
+    served = drop_incomplete(raw).join(clients.select("client_id"), "client_id", "left_semi")
+    complete = served.withColumn("fee_id", fee_key(scale))
     return complete.join(counted, "fee_id", "left_semi")

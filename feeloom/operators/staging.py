@@ -70,5 +70,7 @@ def skipped_by_lookback(
 ) -> DataFrame:
     """Distinct complete raw rows older than the lookback bound that staging does not hold."""
     before = F.lit(False) if bound is None else F.col("fee_date") < F.date_sub(F.lit(bound), lookback_days)
-    old = raw.where(before)
-    return stage_fees(old).join(staged.select("fee_id"), "fee_id", "left_anti")
+    old = stage_fees(raw.where(before))
+    # The key holds the date: staging before the bound is all that is read of it.
+    held = staged.where(before).select("fee_date", "fee_id")
+    return old.join(held, ["fee_date", "fee_id"], "left_anti").select(*old.columns)

@@ -270,6 +270,7 @@ def _queries() -> dict[str, str]:
     q = {}
 
     q["stg_fees"] = f"{raw_stg} SELECT {FEE_OUT} FROM stg"
+    q["stg_clustered"] = q["stg_fees"]
     q["stg_fees_by_key"] = f"""{faulty_stg}
 SELECT fee_id, client_id, min(client_nino) AS client_nino, adviser_id, fee_date,
        CAST(min(fee_amount) AS DOUBLE) AS fee_amount
@@ -381,6 +382,12 @@ SELECT fee_date AS run_id, 'fees' AS "table", n AS "rows", previous_rows FROM (
   SELECT fee_date, n, lag(n) OVER (ORDER BY fee_date) AS previous_rows
   FROM (SELECT fee_date, count(*) AS n FROM lines GROUP BY fee_date))
 WHERE abs(n - previous_rows) > previous_rows * 0.5"""
+    runs = with_(LINES, ledger("raw"), staged(), ledger("bulky", "raw_bulky"), staged("raw_bulky", "stg_bulky"))
+    pairs = {"raw_fees": ("raw_fees", "raw_bulky"), "stg_fees": ("stg", "stg_bulky")}
+    q["recorded_counts"] = f'''{runs} SELECT 'second' AS run_id, "table", "rows", previous_rows FROM (''' + " UNION ALL ".join(
+        f'''SELECT '{table}' AS "table", (SELECT count(*) FROM {new}) AS "rows", (SELECT count(*) FROM {old}) AS previous_rows'''
+        for table, (old, new) in pairs.items()
+    ) + ''') WHERE abs("rows" - previous_rows) > previous_rows * 0.05'''
     q["declared_rules"] = with_(LINES, ledger("raw")) + """
 SELECT 'not_null client_id' AS rule, count(*) AS violations FROM raw_fees WHERE client_id IS NULL
 UNION ALL SELECT 'between fee_amount', count(*) FROM raw_fees WHERE fee_amount NOT BETWEEN -100000 AND 100000

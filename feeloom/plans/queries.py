@@ -124,6 +124,12 @@ def stg_append_columns(spark, sf_dir):
     return read_table(spark, path, merge_schema=True)
 
 
+def stg_clustered(spark, sf_dir):
+    path = scratch_dir(spark, "clustered")
+    overwrite_table(_staged(spark, sf_dir), path, ["fee_date"], ["client_id"])
+    return read_table(spark, path, STAGED_SCHEMA)
+
+
 def backfill_range(spark, sf_dir):
     store = Warehouse(scratch_dir(spark, "backfill"))
     overwrite_table(staging.stage_fees(_earlier_ledger(spark, sf_dir)), store.path("stg_fees"), ["fee_date"])
@@ -259,6 +265,14 @@ def count_changes(spark, sf_dir):
     return monitoring.count_changes(history, 0.5)
 
 
+def recorded_counts(spark, sf_dir):
+    history = f"{scratch_dir(spark, 'counts')}/history"
+    for run_id, variant in (("first", "raw"), ("second", "bulky")):
+        layers = {"raw_fees": fee_ledger(spark, sf_dir, variant), "stg_fees": _staged(spark, sf_dir, variant)}
+        monitoring.record_counts(layers, history, run_id)
+    return monitoring.count_changes(spark.read.parquet(history), 0.05)
+
+
 def declared_rules(spark, sf_dir):
     rules = [
         monitoring.Rule("client_id", "not_null"),
@@ -321,6 +335,7 @@ QUERIES = {
         stg_incremental_slice,
         stg_upsert,
         stg_append_columns,
+        stg_clustered,
         dim_clients,
         client_ltv,
         client_ltv_single_pass,
@@ -351,6 +366,7 @@ QUERIES = {
         daily_anomaly_events,
         layer_counts,
         count_changes,
+        recorded_counts,
         declared_rules,
         late_rows_skipped,
         matured_cohorts,
