@@ -10,6 +10,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,6 +263,21 @@ def test_chains(spark):
     assert got[2000]["spans"] == f"0:{got[2000]['n_words']}" == got[0]["spans"]
 
 
+def test_hot_seed_is_paired_before_the_exchange(spark):
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    common = words(60)
+    rows = [(i, " ".join(words(20) + common + words(20)), "a") for i in range(120)]
+    docs = documents(spark, rows).repartition(6)
+    assert all(r["n_passages"] == 1 for r in chaining.fuzzy_passages(docs).collect())
+    keyed = docs.select(F.xxhash64("doc_id").alias("rid"), F.xxhash64("text").alias("tid"), "text")
+    seeds = chaining._seeds(keyed).toPandas().sort_values(["key", "rid", "pos"])
+    made = pa.Table.from_batches(chaining._paired(iter(pa.Table.from_pandas(seeds, preserve_index=False).to_batches(max_chunksize=50)), True))
+    on = made.filter(made["key"].is_valid())
+    assert on.num_rows == seeds["key"].nunique()
+    assert made.num_rows - on.num_rows <= 2 * len(seeds)
+
+
 def test_best_chain_against_all_chains():
     rng = np.random.default_rng(4)
     for _ in range(40):
