@@ -278,6 +278,30 @@ def test_hot_seed_is_paired_before_the_exchange(spark):
     assert made.num_rows - on.num_rows <= 2 * len(seeds)
 
 
+def test_two_passages_around_a_differing_middle(spark):
+    rng = random.Random(7)
+    words = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
+    one, two = words(60), words(60)
+    rows = [(i, " ".join(one + words(20) + two), "a") for i in range(2)]
+    got = {r["doc_id"]: r for r in chaining.fuzzy_passages(documents(spark, rows)).collect()}
+    assert [got[i]["spans"] for i in range(2)] == ["0:60,80:140"] * 2
+
+
+def test_maximal_runs_against_all_runs():
+    rng = random.Random(8)
+    for _ in range(200):
+        scores = [rng.choice([-7, -3, -1, 1, 2, 5]) for _ in range(12)]
+        want, todo = [], [(0, 12)]
+        while todo:  # the largest sum, the shortest of equals, then the same on both sides
+            a, b = todo.pop()
+            runs = [(sum(scores[i:j]), i - j, i, j) for i in range(a, b) for j in range(i + 1, b + 1)]
+            if runs and max(runs)[0] > 0:
+                _, _, i, j = max(runs)
+                want.append((i, j - 1))
+                todo += [(a, i), (j, b)]
+        assert chaining.maximal_runs(scores) == sorted(want), scores
+
+
 def test_best_chain_against_all_chains():
     rng = np.random.default_rng(4)
     for _ in range(40):
