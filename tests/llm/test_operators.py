@@ -287,6 +287,32 @@ def test_two_passages_around_a_differing_middle(spark):
     assert [got[i]["spans"] for i in range(2)] == ["0:60,80:140"] * 2
 
 
+def test_equal_passages_of_hot_lines(spark):
+    rng = random.Random(9)
+    lines = [" ".join(f"w{rng.randrange(50_000)}" for _ in range(12)) for _ in range(25)]
+    rows = [(i, " ".join(rng.sample(lines, 12)), "a") for i in range(150)]
+    for k in range(30):  # every line and most pairs are elsewhere; the five lines in this order are in two texts alone
+        five = " ".join(rng.sample(lines, 5))
+        rows += [(1000 + 2 * k + j, " ".join([rng.choice(lines), f"own{k}a{j}", five, f"own{k}b{j}", rng.choice(lines)]), "a") for j in (0, 1)]
+    # What stands 50 to 60 words long in two texts, and 45 words long in every one, in the first too.
+    core = [f"c{i}" for i in range(45)]
+    ends = [[f"e{k}x{i}" for i in range(4 + k)] for k in range(4)]
+    rows += [(2000 + i, " ".join([f"l{i}"] * 9 + [f"p{i % 4}"] + core + ends[i % 4] + [f"r{i}"] * 9), "a") for i in range(8)]
+    rows += [(2100 + i, " ".join([f"l{i}x"] * 9 + core + [f"r{i}x"] * 9), "a") for i in range(20)]
+    rows += [(3000 + i, " ".join(["same"] * (40 + 5 * i) + [f"then{i}"] * 3), "a") for i in range(6)]
+    got = {r["doc_id"]: r for r in chaining.fuzzy_passages(documents(spark, rows).repartition(4)).collect()}
+    texts = {i: t.split() for i, t, _ in rows}
+    seen = {}
+    for i, w in texts.items():
+        for s in range(len(w) - 49):
+            seen.setdefault(tuple(w[s : s + 50]), set()).add(i)
+    for i, w in texts.items():
+        want = {k for s in range(len(w) - 49) if len(seen[tuple(w[s : s + 50])]) > 1 for k in range(s, s + 50)}
+        have = {k for span in got[i]["spans"].split(",") if span for k in range(*map(int, span.split(":")))}
+        assert want <= have, (i, sorted(want - have))
+    assert not any(got[2100 + i]["n_passages"] for i in range(20))
+
+
 def test_maximal_runs_against_all_runs():
     rng = random.Random(8)
     for _ in range(200):
