@@ -287,6 +287,41 @@ def test_two_passages_around_a_differing_middle(spark):
     assert [got[i]["spans"] for i in range(2)] == ["0:60,80:140"] * 2
 
 
+def test_short_fuzzy_passages(spark):
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
+    rows, kinds = [], {}
+    for n in (50, 55, 60):
+        for part in (0.05, 0.1, 0.2):
+            for _ in range(40):
+                p = words(n)
+                q = list(p)
+                for at in sorted(rng.sample(range(1, n - 1), int(part * n)), reverse=True):
+                    q[at : at + 1] = rng.choice([[], words(1), [q[at], *words(1)]])
+                kinds[len(rows)] = part
+                rows += [(len(rows) + j, " ".join(words(40) + w + words(40)), "a") for j, w in enumerate((p, q))]
+    rows += [(10_000 + i, " ".join(words(20) + [f"s{j}" for j in range(30)] + words(50)), "a") for i in range(4)]
+    got = {r["doc_id"]: r["n_passages"] for r in chaining.fuzzy_passages(documents(spark, rows)).collect()}
+    for part, least in ((0.05, 0.99), (0.1, 0.97), (0.2, 0.9)):
+        found = [got[i] > 0 for i, k in kinds.items() if k == part]
+        assert sum(found) >= least * len(found), (part, sum(found) / len(found))
+    assert not any(got[10_000 + i] for i in range(4))
+
+
+def test_reaches_against_edit_distance():
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        u, v = rng.integers(0, 4, int(rng.integers(0, 14))), rng.integers(0, 4, int(rng.integers(0, 14)))
+        far = chaining.reaches([(u, v)], 12, 4)[0]
+        for e in range(5):
+            i, j = far[e]
+            # Counted for all ends that follow an equal word and that e edits reach.
+            ends = [a + b for a in range(1, min(len(u), 12) + 1) for b in range(1, len(v) + 1)
+                    if abs(a - b) <= 4 and u[a - 1] == v[b - 1] and chaining.edit_distance(u[:a], v[:b]) <= e]
+            assert i < 0 or chaining.edit_distance(u[:i], v[:j]) <= e
+            assert max(far[: e + 1].sum(axis=1)) == max(ends, default=0)
+
+
 def test_equal_passages_of_hot_lines(spark):
     rng = random.Random(9)
     lines = [" ".join(f"w{rng.randrange(50_000)}" for _ in range(12)) for _ in range(25)]
