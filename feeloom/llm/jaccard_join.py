@@ -112,8 +112,8 @@ def _signatures(firsts: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, and a 128-bit signature of the whole set."""
+def _sets(docs: DataFrame, size: int, with_text: bool = False) -> DataFrame:
+    """doc_id, n_shingles, and a 128-bit signature of the whole set; the text too, if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,10 +121,13 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                 n = np.diff(firsts)
                 ids = batch.column("doc_id").slice(first, len(n))
                 sums = map(pa.array, _signatures(firsts, values))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), *sums], ["doc_id", "n_shingles", "s1", "s2"])
+                texts = [batch.column("text").slice(first, len(n))] if with_text else []
+                yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), *sums, *texts], names)
 
+    names = ["doc_id", "n_shingles", "s1", "s2", *(["text"] if with_text else [])]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, s1 bigint, s2 bigint")
+    schema = f"doc_id {kind}, n_shingles bigint, s1 bigint, s2 bigint" + (", text string" if with_text else "")
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def _keys(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -249,11 +252,14 @@ def jaccard_links(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PER
         rep_of.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb")), "b"
     )
     groups = components(between.select(F.col("ra").alias("a"), F.col("rb").alias("b")), "jaccard-groups")
+    # A document with several texts may stand for several classes, so a member is a document and a set.
+    groups = groups.join(reps.withColumnRenamed("rep", "node"), "node")
     counts = groups.groupBy("component").agg(F.count("*").alias("members"))
     groups = groups.join(counts, "component").withColumn("blocks", F.ceil(F.col("members") / block_docs).cast("int"))
-    groups = groups.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    groups = groups.withColumn("block", F.pmod(F.xxhash64("node", "n_shingles", "s1", "s2"), F.col("blocks")).cast("int"))
     # The same join at every size, so that plans measured on small inputs hold on large ones.
-    members = docs.join(groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id")
+    members = _sets(docs, size, True).join(groups.withColumnRenamed("node", "doc_id").hint("merge"), ["doc_id", "n_shingles", "s1", "s2"])
+    members = members.select("doc_id", "component", "block", "blocks", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +281,7 @@ def jaccard_links(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PER
 
     def multiply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
-        rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
+        rows = rows.drop_duplicates(["doc_id", "shingles"]).sort_values("doc_id")
         sides = []
         for b in (i, j):
             part = rows[rows["block"] == b]

@@ -460,6 +460,17 @@ def test_jaccard_against_all_pairs(spark, percent, size, block):
     assert {r["doc_id"]: r["n_shingles"] for r in named.collect()} == {i: len(s) for i, s in sets.items()}
 
 
+def test_jaccard_links_of_each_text_of_an_id(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(20):  # one id, three texts; each has a near copy under an id of its own
+        for k in range(3):
+            words = [f"w{rng.randrange(9000)}" for _ in range(60)]
+            rows += [(i, " ".join(words), "a"), (100 + 3 * i + k, " ".join([*words[:-1], "else"]), "a")]
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(documents(spark, rows)).collect()}
+    assert got == {(i, i) for i in range(20)} | {(100 + 3 * i + k, i) for i in range(20) for k in range(3)}
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(links).collect()}
