@@ -28,6 +28,11 @@ def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(id_col: Column, text: Column) -> Column:
+    """64-bit key of a row by id and text, never null: rows without an id and differing texts of one id are told apart."""
+    return F.xxhash64(id_col.isNull(), id_col, text.isNull(), text)
+
+
 def shuffle_partitions(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

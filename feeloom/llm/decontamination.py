@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feeloom.llm.common import materialize, mix64, powers, text_slices, words_of
+from feeloom.llm.common import materialize, mix64, powers, row_key, text_slices, words_of
 
 # Edits allowed for each word of an item: similarity 0.8 or more.
 EDIT_SHARE = 0.2
@@ -255,6 +255,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, limit: int = ITEM_B
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that contain a benchmark item; all columns kept, null ids too."""
-    bad = benchmark_matches(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("bad_id"), "left_anti")
+    """``docs`` without the rows that contain a benchmark item, whatever their id; all columns kept."""
+    key = row_key(F.col("doc_id"), F.col("text"))
+    bad = benchmark_matches(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("bad_key")).distinct()
+    return docs.join(bad, key == F.col("bad_key"), "left_anti")

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feeloom.llm.common import lower_ascii, materialize, mix64, shingles_of, shuffle_partitions, text_slices, words_of
+from feeloom.llm.common import WORD, lower_ascii, materialize, mix64, row_key, shingles_of, shuffle_partitions, text_slices, words_of
 from feeloom.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -315,7 +315,21 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int
 
 
 def keep_first_of_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with only the document of the smallest id of each group of near copies; all columns kept, null ids too."""
-    groups = jaccard_components(docs, size, percent)
-    drop = groups.where("component_id != doc_id").select(F.col("doc_id").alias("drop_id")).distinct()
-    return docs.join(drop, docs["doc_id"] == F.col("drop_id"), "left_anti")
+    """``docs`` with only the document of the smallest id of each group of near copies; all columns kept.
+
+    Rows of one doc_id and text are one document, other texts of the id are judged on their own. Rows without an id
+    come last; of equal texts without an id one row stays. Texts without words are never copies.
+    """
+    key = row_key(F.col("doc_id"), F.col("text"))
+    groups = jaccard_components(docs.select(key.alias("doc_id"), "text"), size, percent)
+    grouped = groups.where("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id").distinct()
+    ids = docs.select(key.alias("row"), F.col("doc_id").isNull().alias("no_id"), "doc_id").distinct()
+    ranked = materialize(grouped.join(ids, "row"), "jaccard-ranked")
+    first = ranked.groupBy("component_id").agg(F.min(F.struct("no_id", "doc_id", "row")).alias("first"))
+    drop = ranked.join(first, "component_id").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("drop_key"))
+    kept = docs.join(drop, key == F.col("drop_key"), "left_anti")
+    named, unnamed = kept.where("doc_id is not null"), kept.where("doc_id is null")
+    words = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD))
+    order = Window.partitionBy("text").orderBy(*[F.xxhash64(c) for c in docs.columns], *[c for c in docs.columns if c != "text"])
+    one = unnamed.where(words).withColumn("nth_copy", F.row_number().over(order)).where("nth_copy = 1").drop("nth_copy")
+    return named.unionByName(unnamed.where(~words)).unionByName(one)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feeloom.llm.common import materialize
+from feeloom.llm.common import materialize, row_key
 
 # A line ends a chunk when the hash of it and the line before it is 0 modulo this: chunks of three lines on average.
 DIVISOR = 3
@@ -50,33 +50,36 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, id_col: str = "doc_id")
     """Rows of ``docs`` (all columns kept) with text cut and n_lines, n_removed_lines, n_removed_chunks added.
 
     A chunk of two or more lines, not all blank, that occurs more than once in the corpus stays at its first
-    occurrence, by (doc_id, place), and is removed everywhere else. Digests find the candidates; occurrences are the
-    same only if their bytes are. Rows of one doc_id count as one document. Null texts stay null with 0 lines, empty
+    occurrence, by (doc_id, place), and is removed everywhere else; rows without an id come last. Digests find the
+    candidates; occurrences are the same only if their bytes are. Rows of one doc_id and text, or of one text without
+    an id, count as one document; other texts of a repeated id are documents of their own, by hash. Null texts stay null with 0 lines, empty
     ones have one line; a document may lose all lines and then has an empty text. No rows: an empty result. The three
     added columns replace columns of the same names.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines", "n_removed_chunks")]
     base = docs.select(*own)
-    keyed = base.select(F.col(id_col).alias("key"), "text").where(F.col("text").isNotNull() & F.contains("text", F.lit("\n")))
+    own_key = row_key(F.col(id_col), F.col("text"))
+    keyed = base.select(own_key.alias("key"), F.col(id_col).alias("id"), "text").where(F.col("text").isNotNull() & F.contains("text", F.lit("\n")))
     cut = keyed.select("key", F.posexplode(_chunks(F.col("text"), divisor)).alias("place", "chunk"))
     digests = cut.where(_long(F.col("chunk"))).select("key", "place", F.md5(F.array_join("chunk", "\n")).alias("digest"))
     digests = materialize(digests, "line-digests")
     often = digests.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     marks = digests.join(often, "digest").groupBy("key").agg(F.collect_set("place").alias("places"))
-    marked = keyed.join(marks, "key").select("key", "places", _chunks(F.col("text"), divisor).alias("chunks"))
-    spots = marked.select("key", "chunks", F.explode("places").alias("place")).select(
-        "key", "place", F.array_join(F.get("chunks", F.col("place")), "\n").alias("chunk")
+    marked = keyed.join(marks, "key").select("key", "id", "places", _chunks(F.col("text"), divisor).alias("chunks"))
+    spots = marked.select("key", "id", "chunks", F.explode("places").alias("place")).select(
+        "key", "id", "place", F.array_join(F.get("chunks", F.col("place")), "\n").alias("chunk")
     )
     spots = materialize(spots, "line-candidates")
+    spot = F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "place")
     # Grouping by the text itself compares bytes.
     first = spots.groupBy(F.md5("chunk").alias("digest"), "chunk").agg(
-        F.min(F.struct("key", "place")).alias("first"), F.count("*").alias("n")
+        F.min(spot).alias("first"), F.count("*").alias("n")
     ).where("n > 1").select("digest", F.col("chunk").alias("same"), "first")
     again = spots.withColumn("digest", F.md5("chunk")).join(first, "digest").where(
-        (F.col("chunk") == F.col("same")) & ~F.col("first").eqNullSafe(F.struct("key", "place"))
+        (F.col("chunk") == F.col("same")) & ((F.col("first.key") != F.col("key")) | (F.col("first.place") != F.col("place")))
     )
     removal = materialize(again.groupBy(F.col("key").alias("removal_key")).agg(F.collect_set("place").alias("removed_places")), "line-removals")
-    joined = base.join(removal, F.col(id_col) == F.col("removal_key"), "left")
+    joined = base.join(removal, own_key == F.col("removal_key"), "left")
     chunks = _chunks(F.col("text"), divisor)
     gone = F.col("removed_places")
     kept = F.filter(F.transform(chunks, lambda c, i: F.when(~F.array_contains(gone, i), c)), lambda c: c.isNotNull())

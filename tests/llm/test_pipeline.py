@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from feeloom.llm import decontamination, jaccard_join, toxicity
+from feeloom.llm import decontamination, jaccard_join, line_dedup, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -35,3 +35,23 @@ def test_stages(spark):
 def test_run_agrees_with_itself(spark):
     first, second = (sorted(map(tuple, corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect())) for _ in range(2))
     assert first == second and first
+
+
+def test_rows_without_an_id_and_texts_of_one_id_are_judged(spark):
+    kind = "doc_id long, text string, key string"
+    lines = "\n".join(f"shared line {i}" for i in range(40))
+    mine = "\n".join(f"my own line {i}" for i in range(40))
+    docs = spark.createDataFrame([(1, lines, "k"), (2, mine, "k"), (2, lines, "k"), (None, lines, "k"), (None, None, "k")], kind)
+    cut = sorted((r["doc_id"] or 9, r["text"] == mine, r["n_removed_lines"] > 30, r["n_lines"]) for r in line_dedup.dedup_lines(docs).collect())
+    assert cut == [(1, False, False, 40), (2, False, True, 40), (2, True, False, 40), (9, False, False, 0), (9, False, True, 40)]
+    words = [" ".join(f"{w}{i}" for i in range(60)) for w in "ab"]
+    docs = spark.createDataFrame(
+        [(1, words[0], "k"), (2, words[0] + " end", "k"), (2, words[1], "k"), (None, words[0], "k"), (None, "c d e f g h", "k"),
+         (None, "c d e f g h", "j"), (None, "", "k"), (None, "", "k")], kind,
+    )
+    kept = jaccard_join.keep_first_of_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 9, r["text"]) for r in kept.collect()) == [(1, words[0]), (2, words[1]), (9, ""), (9, ""), (9, "c d e f g h")]
+    bench = spark.createDataFrame([(1, " ".join(f"a{i}" for i in range(20)))], "item_id long, text string")
+    clean = decontamination.drop_contaminated(docs, bench).collect()
+    assert sorted((r["doc_id"] or 9, r["text"]) for r in clean) == [(2, words[1]), (9, ""), (9, ""), (9, "c d e f g h"), (9, "c d e f g h")]
