@@ -22,6 +22,8 @@ SAMPLE_STRINGS = 4096
 # Log-likelihood ratio, in nats: of the whole run, and on average for each of its characters.
 MIN_RATIO = 12.0
 MIN_MEAN_RATIO = 0.6
+# Different characters in a part of a run; 16 random hexadecimal digits have fewer about once in 30,000.
+MIN_DISTINCT = 6
 WIDTH = len(ALPHABET)
 
 
@@ -108,15 +110,100 @@ def train_ratios(samples: DataFrame) -> list[float]:
     return ratios
 
 
-def random_runs(text: Column, ratios: list[float], min_ratio: float = MIN_RATIO, min_mean: float = MIN_MEAN_RATIO) -> Column:
-    """Runs that the models take for random, as structs (start, end, value); numbers without a letter are none."""
+def _stretches(run: Column, scores: Column, bias: float) -> Column:
+    """Stretches (start, end, within the run) with the largest sums of ``scores`` less ``bias``, from left to right.
+
+    A stretch is closed where its sum falls to 0 or by more than MIN_RATIO below its largest, and cut at the largest.
+    """
+    none = F.array().cast("array<struct<start:int,end:int,total:double>>")
+    zero = F.lit(0.0)
+
+    def stretch(state: Column) -> Column:
+        made = F.struct(state["start"].alias("start"), state["end"].alias("end"), state["best"].alias("total"))
+        return F.when(state["end"] - state["start"] >= 16, F.concat(state["found"], F.array(made))).otherwise(state["found"])
+
+    def step(state: Column, score: Column) -> Column:
+        total = state["total"] + score - F.lit(bias)
+        shut = (total <= 0) | (total < state["best"] - MIN_RATIO)
+        more = total > state["best"]
+        at = state["at"] + 1
+        return F.struct(
+            at.alias("at"),
+            F.when(shut, at).otherwise(state["start"]).alias("start"),
+            F.when(shut, at).when(more, at + 1).otherwise(state["end"]).alias("end"),
+            F.when(shut, zero).otherwise(total).alias("total"),
+            F.when(shut, zero).when(more, total).otherwise(state["best"]).alias("best"),
+            F.when(shut, stretch(state)).otherwise(state["found"]).alias("found"),
+        )
+
+    first = F.struct(F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(0).alias("end"), zero.alias("total"), zero.alias("best"), none.alias("found"))
+    return F.aggregate(scores, first, step, stretch)
+
+
+def random_runs(text: Column, ratios: list[float], min_ratio: float = MIN_RATIO, min_mean: float = MIN_MEAN_RATIO, base: Column | None = None) -> Column:
+    """Random stretches of 16 characters or more, as structs (start, end, value); those without a letter are none.
+
+    Base spans are cut out of the runs first. What is left is taken whole if it passes as a whole; else its best
+    stretches that pass are taken, and if none does, those that lie above the mean asked for. Parts of a run must hold
+    MIN_DISTINCT different characters: one character repeated is rare in ordinary text, but not random.
+    """
     table = F.array(*[F.lit(float(r)) for r in ratios])
-    score = lambda run: F.aggregate(_steps(run), F.lit(0.0), lambda a, s: a + F.get(table, s))
     runs = _matches(text, RUN, RUN)
-    return F.filter(
-        F.filter(runs, lambda m: F.regexp_like(m["value"], F.lit("[A-Za-z]"))),
-        lambda m: score(m["value"]) >= F.greatest(F.lit(min_ratio), F.lit(min_mean) * F.length(m["value"])),
-    )
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    runs = F.flatten(F.transform(runs, lambda r: _without(r, none if base is None else base)))
+    once = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
+
+    def passing(run: Column, scores: Column, found: Column) -> Column:
+        def good(f: Column) -> Column:
+            total = F.aggregate(F.slice(scores, f["start"] + 1, f["end"] - f["start"] - 1), F.lit(0.0), lambda a, s: a + s)
+            value = F.substring(run["value"], f["start"] + 1, f["end"] - f["start"])
+            part = run["cut"] | (f["end"] - f["start"] < F.length(run["value"]))
+            varied = ~part | (F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT)
+            return varied & (total >= F.greatest(F.lit(min_ratio), F.lit(min_mean) * (f["end"] - f["start"]))) & F.regexp_like(value, F.lit("[A-Za-z]"))
+
+        return F.transform(F.filter(found, good), lambda f: F.struct(
+            (run["start"] + f["start"]).alias("start"), (run["start"] + f["end"]).alias("end"),
+            F.substring(run["value"], f["start"] + 1, f["end"] - f["start"]).alias("value"),
+        ))
+
+    def judged(run: Column) -> Column:
+        def parts(scores: Column) -> Column:
+            whole = F.array(F.struct(F.lit(0).alias("start"), F.length(run["value"]).alias("end"), F.lit(0.0).alias("total")))
+            tries = [whole, _stretches(run["value"], scores, 0.0), _stretches(run["value"], scores, min_mean)]
+            first, second, third = (passing(run, scores, t) for t in tries)
+            some = lambda a, b: once(a, lambda x: F.when(F.size(x) > 0, x).otherwise(b))
+            return some(first, some(second, third))
+
+        return once(F.transform(_steps(run["value"]), lambda s: F.get(table, s)), parts)
+
+    lettered = F.filter(runs, lambda m: F.regexp_like(m["value"], F.lit("[A-Za-z]")))
+    return F.flatten(F.transform(lettered, judged))
+
+
+def _without(run: Column, base: Column) -> Column:
+    """The pieces of a run of 16 characters or more outside all base spans, as structs (start, end, value, cut)."""
+    touching = F.array_sort(F.transform(
+        F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])),
+        lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")),
+    ))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def step(state: Column, b: Column) -> Column:
+        piece = F.array(F.struct(state["at"].alias("start"), b["start"].alias("end")))
+        return F.struct(
+            F.greatest(state["at"], b["end"]).alias("at"),
+            F.when(b["start"] - state["at"] >= 16, F.concat(state["found"], piece)).otherwise(state["found"]).alias("found"),
+        )
+
+    start = F.struct(run["start"].alias("at"), none.alias("found"))
+    last = lambda s: F.when(
+        run["end"] - s["at"] >= 16, F.concat(s["found"], F.array(F.struct(s["at"].alias("start"), run["end"].alias("end"))))
+    ).otherwise(s["found"])
+    return F.transform(F.aggregate(touching, start, step, last), lambda p: F.struct(
+        p["start"].alias("start"), p["end"].alias("end"),
+        F.substring(run["value"], p["start"] - run["start"] + 1, p["end"] - p["start"]).alias("value"),
+        (p["end"] - p["start"] < run["end"] - run["start"]).alias("cut"),
+    ))
 
 
 def _written(kinds: dict[str, str]) -> Column:
@@ -133,17 +220,14 @@ def _written(kinds: dict[str, str]) -> Column:
 def scan_secrets(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random, text.
 
-    Base kinds are assign, access and hex; the models add kind random for runs that no base span touches. Null texts
+    Base kinds are assign, access and hex; the models add kind random for stretches of runs outside all base spans. Null texts
     count as empty: no spans, the digest of nothing. No rows: an empty result. Other columns are ignored.
     """
     if ratios is None:
         ratios = train_ratios(labelled_samples(docs.sparkSession, docs))
     found = base_spans(docs)
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    runs = F.filter(
-        random_runs(F.col("text"), ratios),
-        lambda r: ~F.exists(F.concat("assign", "access", "hex"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
-    )
+    runs = random_runs(F.col("text"), ratios, base=F.concat("assign", "access", "hex"))
     found = found.withColumn("random", F.coalesce(runs, none))
     base = {"assign": "assign", "access": "access", "hex": "hex"}
     return found.select(

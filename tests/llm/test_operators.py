@@ -123,6 +123,27 @@ def test_secrets_against_brute_force(spark):
             assert r["n_random"] == (r["doc_id"] == 9008), r["spans"]
 
 
+def test_random_stretches_inside_longer_runs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ratios = secrets.train_ratios(secrets.labelled_samples(spark, docs))
+    token = "Zx81kQpL7vR2mT9wBn4YcD3s"
+    word = "the_documentation_of_the_international_organization_and_other_information_"
+    texts = [word * 4 + token, "see " + token + "/" + word * 4, word * 3 + token + "/" + word * 3 + token, word * 4, f"password={token[:9]}.{token}",
+             "0123456789abcdef" * 2 + "/" + token]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.scan_secrets(rows, ratios).collect():
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r["spans"].split(",") if s.startswith("random")]
+        places = [m.start() for m in re.finditer(token, texts[r["doc_id"]])]
+        if r["doc_id"] in (0, 1, 2):
+            assert len(spans) == len(places), (r["doc_id"], r["spans"])
+            for (a, b), p in zip(spans, places, strict=True):
+                assert abs(a - p) <= 8 and abs(b - p - len(token)) <= 8, (r["doc_id"], r["spans"])
+        elif r["doc_id"] == 5:
+            assert len(spans) == 1 and spans[0][0] >= 32 and r["n_hex"] == 1, r["spans"]
+        else:
+            assert not spans, (r["doc_id"], r["spans"])
+
+
 def test_secret_models_tell_random_from_words(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     ratios = secrets.train_ratios(secrets.labelled_samples(spark, docs))
