@@ -93,4 +93,44 @@ ORACLE_SQL = {
         SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(min(r), w.doc_id) AS component_id
         FROM words w LEFT JOIN sizes USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY w.doc_id, n
     """,
+    "op13_prefix_trie": r"""
+        WITH own AS (
+            SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+                                      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), hashed AS (
+            SELECT *, xor(list_reduce(
+                       list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                       lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                                                     lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+                   4294967295) % 6 AS h
+            FROM own
+        ), rebuilt AS (
+            SELECT x.c, list_concat(coalesce(b.turns[1:x.h], []), x.turns[x.h + 1:]) AS turns
+            FROM hashed x LEFT JOIN own b ON b.c = x.c - x.c % 100
+        ), paths AS (
+            SELECT c, turns, CAST(unnest(range(len(turns) + 1)) AS BIGINT) AS d FROM rebuilt
+        ), keyed AS (
+            SELECT c, d, turns[1:d] AS p, turns[1:d - 1] AS q, len(turns) = d AS is_end, CASE WHEN d = 0 THEN 0 ELSE length(turns[d].t) END AS chars
+            FROM paths
+        ), nodes AS (
+            SELECT d, CASE WHEN d = 0 THEN [] ELSE p END AS p, CASE WHEN d < 2 THEN [] ELSE q END AS q, min(c) AS conv_id, count(*) AS n,
+                   (count(*) - 1) * max(chars) AS saved,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end), '')) AS ends
+            FROM keyed GROUP BY ALL
+        ), kids AS (
+            SELECT q AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+        ), full_nodes AS (
+            SELECT x.*, coalesce(k.n, 0) AS n_children FROM nodes x LEFT JOIN kids k ON k.d = x.d AND k.p = x.p
+        ), above AS (
+            SELECT CASE WHEN a = 0 THEN [] ELSE p[1:a] END AS p, a AS d, saved, n_children
+            FROM (SELECT *, unnest(range(d + 1)) AS a FROM full_nodes)
+        ), totals AS (
+            SELECT p, d, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM above GROUP BY ALL
+        )
+        SELECT x.conv_id, x.d AS depth, up.conv_id AS parent_conv_id, x.n AS n_convs, x.n_children, CAST(t.leaves AS BIGINT) AS n_leaves,
+               CAST(t.saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+        FROM full_nodes x JOIN totals t ON t.d = x.d AND t.p = x.p
+        LEFT JOIN nodes up ON up.d = x.d - 1 AND up.p = x.q
+    """,
 }

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feeloom.llm import bwt_dedup, chaining, decontamination, jaccard_join, line_dedup, mixing, permutation_index, secrets, token_counts, toxicity
+from feeloom.llm import (
+    bwt_dedup, chaining, decontamination, jaccard_join, line_dedup, main_text, mixing, periodic_runs, permutation_index,
+    prefix_trie, secrets, token_counts, toxicity,
+)
 from feeloom.llm.common import read_table
 
 
@@ -51,4 +54,19 @@ def op10_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    docs = periodic_runs.with_repeated_tail(read_table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
+def op12_main_text(spark, sf_dir):
+    pages = main_text.extract_main_text(read_table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
+def op13_prefix_trie(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations")
+    return prefix_trie.trie_report(prefix_trie.rebuild_conversations(turns))
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}

@@ -77,7 +77,8 @@ def test_empty_tables(spark):
 def test_sql(spark, name, sf):
     got = QUERIES[name](spark, sf).toPandas()
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     want = db.execute(ORACLE_SQL[name]).fetchdf()
     names = sorted(got.columns)
     assert names == sorted(want.columns)
