@@ -35,13 +35,14 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--skip-tests", action="store_true")
     parser.add_argument("--full-refresh", action="store_true", help="rebuild staging instead of upserting")
     parser.add_argument("--gate", action="store_true", help="publish the reports only if the checks pass")
+    parser.add_argument("--versioned", action="store_true", help="publish tables by version, without renames")
     parser.add_argument("--windows", default="1,3,6", help="months, comma separated")
     options = parser.parse_args(argv)
     if not options.skip_ingest and options.glob is None:
         parser.error("a file glob is needed unless --skip-ingest is given")
 
     spark = SparkSession.builder.appName("feeloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    store = Warehouse(options.root.rstrip("/"), tuple(int(n) for n in options.windows.split(",")))
+    store = Warehouse(options.root.rstrip("/"), tuple(int(n) for n in options.windows.split(",")), versioned=options.versioned)
     size_shuffles(spark, store, None if options.skip_ingest else options.glob)
     try:
         results = run_refresh(

@@ -279,6 +279,12 @@ FROM stg GROUP BY fee_id, client_id, adviser_id, fee_date"""
 SELECT {FEE_OUT} FROM stg WHERE fee_date >= (SELECT max(fee_date) FROM raw_fees) - INTERVAL 3 DAY"""
     incremental = with_(LINES, ledger("raw"), staged(), EARLY, RECENT)
     q["stg_upsert"] = incremental + upserted("recent")
+    reading = """SELECT '{name}' AS reading, count(*) AS "rows", min(fee_date) AS first_date, max(fee_date) AS last_date,
+       count(*) FILTER (client_nino LIKE 'OLD%') AS old_numbers, CAST(CAST(sum(CAST(fee_amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS total_fees FROM ({rows})"""
+    q["published_versions"] = incremental + " UNION ALL ".join(
+        " " + reading.format(name=name, rows=rows)
+        for name, rows in {"held": "SELECT * FROM early", "upserted": upserted("recent"), "restored": "SELECT * FROM early"}.items()
+    )
     q["stg_append_columns"] = f"""{incremental}
 SELECT {FEE_OUT}, 'GBP' AS currency FROM recent
 UNION ALL
@@ -336,6 +342,7 @@ SELECT min(fee_date) AS first_date, max(fee_date) AS last_date, CAST(sum(fee_amo
     q["quarantine_summary"] = with_(LINES, ledger("raw")) + """
 SELECT CASE WHEN client_id IS NULL THEN 'missing required: client_id' ELSE 'accepted' END AS outcome,
        count(*) AS "rows" FROM raw_fees GROUP BY 1"""
+    q["refresh_run_versioned"] = q["refresh_run"]
     q["stream_arrivals"] = with_(LINES, ledger("base"), staged()) + f" SELECT {FEE_OUT} FROM stg"
 
     last = """last AS (

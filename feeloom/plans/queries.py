@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from feeloom.plans.refresh import Warehouse, backfill_staging, build_staging, in
 from feeloom.schemas import FEE_SCHEMA, STAGED_SCHEMA
 from feeloom.session import scratch_dir
 from feeloom.sinks.tables import overwrite_table, upsert_by_partition
+from feeloom.sinks.versions import restore_snapshot
 from feeloom.sources.csv_files import quarantine_fees_csv
 from feeloom.sources.tables import high_water_mark, read_table
 from feeloom.sources.testdata import event_ledger, fee_ledger
@@ -115,6 +117,35 @@ def stg_upsert(spark, sf_dir):
     return store.read(spark, "stg_fees")
 
 
+def published_versions(spark, sf_dir):
+    """Staging published three times: the first load, the upsert of later rows, the first load restored.
+
+    Each is read by name; ``held`` was resolved before the upsert was published, and runs after it.
+    """
+    store = Warehouse(scratch_dir(spark, "versions"), versioned=True)
+    store.write(staging.stage_fees(_earlier_ledger(spark, sf_dir)), "stg_fees", "fee_date")
+    held = spark.table(store.name("stg_fees"))
+    store.write(fee_ledger(spark, sf_dir, "raw").dropna(subset=["fee_date"]), "fees", "fee_date")
+    build_staging(spark, store)
+    upserted = spark.table(store.name("stg_fees"))
+    restore_snapshot(spark, store.path("stg_fees"), 1, store.name("stg_fees"))
+    restored = spark.table(store.name("stg_fees"))
+    readings = {"held": held, "upserted": upserted, "restored": restored}
+    return reduce(DataFrame.unionAll, [
+        df.agg(
+            F.lit(reading).alias("reading"), F.count("*").alias("rows"), F.min("fee_date").alias("first_date"), F.max("fee_date").alias("last_date"),
+            F.count_if(F.col("client_nino").startswith("OLD")).alias("old_numbers"), units_to_double(F.sum(to_units(F.col("fee_amount")))).alias("total_fees"),
+        )
+        for reading, df in readings.items()
+    ])
+
+
+def refresh_run_versioned(spark, sf_dir):
+    root = scratch_dir(spark, "refresh-versioned")
+    _drop_csv(fee_ledger(spark, sf_dir), f"{root}/files")
+    return run_refresh(spark, Warehouse(root, versioned=True), f"{root}/files/*.csv", full_refresh=True, gate=True)
+
+
 def stg_append_columns(spark, sf_dir):
     path = scratch_dir(spark, "append")
     overwrite_table(staging.stage_fees(_earlier_ledger(spark, sf_dir)), path, ["fee_date"])
@@ -334,6 +365,8 @@ QUERIES = {
         stg_fees_by_key,
         stg_incremental_slice,
         stg_upsert,
+        published_versions,
+        refresh_run_versioned,
         stg_append_columns,
         stg_clustered,
         dim_clients,
