@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feeloom.functions.money import MONEY_SCALE, units_to_double
 from feeloom.operators.clients import daily_units, last_touch, window_units
 from feeloom.operators.reports import adviser_ltv, client_values
+from feeloom.operators.skew import ROWS_PER_TASK, heavy_keys, salted_join
 from feeloom.schemas import LTV_WINDOWS, ltv_column, ltv_columns
 
 # Tenure is counted in millionths of a day, so that advisers can share one.
@@ -26,12 +27,16 @@ def fee_weighted_ltv(
     clients: DataFrame,
     windows: Sequence[int] = LTV_WINDOWS,
     scale: int = MONEY_SCALE,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Adviser report crediting each adviser with the fees collected under them, window by window."""
+    """Adviser report crediting each adviser with the fees collected under them, window by window.
+
+    A client whose fees span very many advisers and days is salted in the join, since AQE does not split a join that
+    aggregates feed; advisers are summed map-side after it.
+    """
     daily = daily_units(fees, "client_id", "adviser_id", scale=scale)
-    dated = daily.join(clients.select("client_id", "first_fee_date"), "client_id")
-    # Grouping the join by adviser keeps the exchange that lets AQE split a client whose fees span very many
-    # advisers; clients are counted on the side for the same reason.
+    heavy = heavy_keys(fees, "client_id", rows_per_task)
+    dated = salted_join(daily, clients.select("client_id", "first_fee_date"), "client_id", ["adviser_id", "fee_date"], heavy)
     credited = dated.groupBy("adviser_id").agg(*window_units(windows))
     counts = (
         fees.select("client_id", "adviser_id")

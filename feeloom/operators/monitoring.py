@@ -36,6 +36,13 @@ def newest_file(df: DataFrame) -> DataFrame:
     return df.agg(F.max("_metadata.file_modification_time").alias("newest_file"))
 
 
+def _day_totals(fees: DataFrame, scale: int) -> DataFrame:
+    return (
+        fees.groupBy("fee_date")
+        .agg(F.sum(to_units(F.col("fee_amount"), scale)).alias("units"), F.count("*").alias("fees"))
+    )
+
+
 def daily_anomalies(
     fees: DataFrame, days: int = 28, sigmas: float = 3.0, scale: int = MONEY_SCALE
 ) -> DataFrame:
@@ -43,16 +50,51 @@ def daily_anomalies(
 
     The window has no partition key; it runs over one row per calendar day, never over fees.
     """
-    totals = (
-        fees.groupBy("fee_date")
-        .agg(F.sum(to_units(F.col("fee_amount"), scale)).alias("units"), F.count("*").alias("fees"))
+    measured = _against_days_before(_day_totals(fees, scale), Window.orderBy("fee_date").rowsBetween(-days, -1), scale)
+    off = F.abs(F.col("total_fees") - F.col("expected_fees")) > F.col("deviation") * F.lit(sigmas)
+    return measured.withColumn("anomalous", F.coalesce(off, F.lit(False)))
+
+
+def calendar_anomalies(
+    fees: DataFrame, days: int = 28, sigmas: float = 3.0, scale: int = MONEY_SCALE
+) -> DataFrame:
+    """daily_anomalies() over the calendar: every day from the first fee to the last is a row, a silent one with 0 fees.
+
+    A day is compared with the ``days`` calendar days before it (a RANGE of dates, so gaps count), silent ones included.
+    ``silent`` days are anomalous whenever the days before had fees on at least half of them. Fees without a date take
+    no part; no fees, no rows.
+    """
+    totals = _day_totals(fees.where(F.col("fee_date").isNotNull()), scale)
+    span = totals.agg(F.min("fee_date").alias("first"), F.max("fee_date").alias("last")).where("first IS NOT NULL")
+    calendar = span.select(F.explode(F.sequence("first", "last")).alias("fee_date"))
+    zero = F.lit(0).cast("bigint")
+    every = calendar.join(totals, "fee_date", "left").select(
+        "fee_date", F.coalesce("units", zero).alias("units"), F.coalesce("fees", zero).alias("fees")
     )
-    before = Window.orderBy("fee_date").rowsBetween(-days, -1)
+    day = F.unix_date("fee_date")
+    before = Window.orderBy(day).rangeBetween(-days, -1)
+    busy = F.count_if(F.col("fees") > 0).over(before)
+    measured = _against_days_before(every.withColumn("busy", busy), before, scale, ["busy"])
+    silent = F.col("fees") == 0
+    off = F.abs(F.col("total_fees") - F.col("expected_fees")) > F.col("deviation") * F.lit(sigmas)
+    return measured.select(
+        *[c for c in measured.columns if c not in ("busy", "n")],
+        silent.alias("silent"),
+        (F.coalesce(off, F.lit(False)) | (silent & (F.col("busy") * 2 >= F.col("n")) & (F.col("n") > 0))).alias("anomalous"),
+    )
+
+
+def _against_days_before(totals: DataFrame, before, scale: int, extra: Sequence[str] = ()) -> DataFrame:
+    """Each day's total beside the exact mean and standard deviation of the rows in the window ``before`` it.
+
+    With ``extra``, those columns and the number of rows ``n`` stay.
+    """
     wide = F.col("units").cast("decimal(19,0)")
     stats = totals.select(
         "fee_date",
         "fees",
         "units",
+        *extra,
         F.count("*").over(before).alias("n"),
         F.sum("units").over(before).alias("s"),
         F.sum(wide * wide).over(before).alias("ss"),
@@ -61,15 +103,14 @@ def daily_anomalies(
     spread = (F.col("ss") * n.cast("decimal(10,0)")).cast("decimal(38,0)") - s * s
     deviation = F.sqrt(spread.cast("double") / (n * (n - 1)).cast("double")) / F.lit(float(10**scale))
     enough = n >= 2
-    measured = stats.select(
+    return stats.select(
         "fee_date",
         "fees",
         units_to_double(F.col("units"), scale).alias("total_fees"),
         F.when(enough, exact_mean(F.col("s"), n, scale)).alias("expected_fees"),
         F.when(enough, F.round(deviation, 2)).alias("deviation"),
+        *([*extra, "n"] if extra else []),
     )
-    off = F.abs(F.col("total_fees") - F.col("expected_fees")) > F.col("deviation") * F.lit(sigmas)
-    return measured.withColumn("anomalous", F.coalesce(off, F.lit(False)))
 
 
 def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

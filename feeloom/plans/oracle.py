@@ -234,6 +234,31 @@ SELECT *, coalesce(abs(total_fees - expected_fees) > deviation * {sigmas}, false
 
 
 
+def calendar_anomalies(days: int, sigmas: float) -> str:
+    frame = f"OVER (ORDER BY fee_date RANGE BETWEEN INTERVAL {days} DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)"
+    return f""",
+weekdays AS (SELECT * FROM stg WHERE dayofweek(fee_date) <> 0),
+summed AS (SELECT fee_date, count(*) AS fees, CAST(sum(fee_amount) * 100 AS HUGEINT) AS u FROM weekdays GROUP BY fee_date),
+calendar AS (SELECT CAST(unnest(generate_series((SELECT min(fee_date) FROM weekdays), (SELECT max(fee_date) FROM weekdays), INTERVAL 1 DAY)) AS DATE) AS fee_date),
+daily AS (SELECT c.fee_date, coalesce(fees, 0) AS fees, CAST(coalesce(u, 0) AS HUGEINT) AS u FROM calendar c LEFT JOIN summed s ON s.fee_date = c.fee_date),
+stats AS (SELECT fee_date, fees, u, count(*) {frame} AS n, CAST(sum(u) {frame} AS HUGEINT) AS s,
+                 CAST(sum(u * u) {frame} AS HUGEINT) AS ss, coalesce(sum(CASE WHEN fees > 0 THEN 1 ELSE 0 END) {frame}, 0) AS busy FROM daily),
+shown AS (
+  SELECT fee_date, fees, CAST(CAST(u AS DECIMAL(38,0)) / 100 AS DOUBLE) AS total_fees,
+         CASE WHEN n >= 2 THEN {hundredths('s', 'n')} END AS expected_fees,
+         CASE WHEN n >= 2 THEN round(sqrt(CAST(ss * n - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)) / 100.0, 2) END AS deviation,
+         fees = 0 AS silent, busy, n
+  FROM stats)
+SELECT fee_date, fees, total_fees, expected_fees, deviation, silent,
+       coalesce(abs(total_fees - expected_fees) > deviation * {sigmas}, false) OR (silent AND n > 0 AND busy * 2 >= n) AS anomalous FROM shown"""
+
+
+def keyed_digest(column: str, secret: str) -> str:
+    """HMAC-SHA256 by its definition, for a secret of at most 64 bytes."""
+    inner, outer = ("".join(f"{b ^ pad:02x}" for b in secret.encode().ljust(64, b"\0")) for pad in (0x36, 0x5C))
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({column}))))"
+
+
 def layer_rows(prefix: str = "") -> dict[str, str]:
     return {
         "raw_fees": f"{prefix}raw_fees", "stg_fees": f"{prefix}stg", "dim_clients": f"{prefix}dim",
@@ -295,6 +320,7 @@ SELECT {FEE_OUT}, NULL AS currency FROM early WHERE fee_id NOT IN (SELECT fee_id
     q["dim_clients"] = f"{clean} SELECT * FROM dim"
     q["client_ltv"] = f"{clean} SELECT {LTV_OUT} FROM ltv"
     q["client_ltv_single_pass"] = q["client_ltv"]
+    q["client_ltv_by_layout"] = q["client_ltv"]
     q["client_ltv_yearly"] = (
         with_(LINES, ledger("raw"), staged(), dimension(), values(windows=(12, 24)))
         + " SELECT client_id, first_fee_date, CAST(ltv_12_month AS DOUBLE) AS ltv_12_month, "
@@ -381,6 +407,7 @@ SELECT latest, CAST(DATE '2001-08-10' - latest AS BIGINT) AS age_days,
        DATE '2001-08-10' - latest > 3 AS stale FROM (SELECT max(fee_date) AS latest FROM lines)"""
     q["daily_anomaly"] = raw_stg + anomalies(28, 3.0)
     q["daily_anomaly_events"] = with_(ledger("events"), staged()) + anomalies(7, 1.0)
+    q["calendar_anomaly"] = raw_stg + calendar_anomalies(14, 2.0)
     q["layer_counts"] = with_(LINES, *build_ctes("raw")) + " UNION ALL ".join(
         f" SELECT '{table}' AS \"table\", count(*) AS \"rows\" FROM {cte}" for table, cte in layer_rows().items()
     )
@@ -437,6 +464,9 @@ WHERE client_id IN (SELECT client_id FROM dim WHERE first_adviser_id IN (SELECT
     q["pii_masked"] = f"""{raw_stg}
 SELECT fee_id, client_id, sha256(client_nino) AS client_nino, adviser_id, fee_date,
        CAST(fee_amount AS DOUBLE) AS fee_amount FROM stg"""
+    q["pii_masked_keyed"] = f"""{raw_stg}
+SELECT fee_id, client_id, {keyed_digest('client_nino', 'a secret for the tests alone')} AS client_nino, adviser_id, fee_date,
+       CAST(fee_amount AS DOUBLE) AS fee_amount FROM stg"""
     patterns = {"nino": "^NI[0-9]+X?$", "md5": "^[0-9a-f]{32}$"}
     q["pii_scan"] = faulty_stg + " UNION ALL ".join(
         f" SELECT '{c}' AS column_name, '{p}' AS pattern, count(*) AS matching_rows FROM stg "

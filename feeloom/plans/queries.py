@@ -13,6 +13,7 @@ from feeloom.operators import attribution, checks, clients, monitoring, privacy,
 from feeloom.plans.refresh import Warehouse, backfill_staging, build_staging, ingest_fees, run_refresh
 from feeloom.schemas import FEE_SCHEMA, STAGED_SCHEMA
 from feeloom.session import scratch_dir
+from feeloom.sinks.by_client import write_by_client
 from feeloom.sinks.tables import overwrite_table, upsert_by_partition
 from feeloom.sinks.versions import restore_snapshot
 from feeloom.sources.csv_files import quarantine_fees_csv
@@ -79,6 +80,15 @@ def client_ltv_single_pass(spark, sf_dir):
     return clients.client_ltv_single_pass(_staged(spark, sf_dir))
 
 
+def client_ltv_by_layout(spark, sf_dir):
+    """Lifetime values over staging laid out by client: the even part is bucketed and read without an exchange."""
+    root = scratch_dir(spark, "by-client")
+    name = "fees_" + root.rsplit("-", 1)[1]
+    layout = write_by_client(_staged(spark, sf_dir), name, root, buckets=16, sort_by=("fee_date",), rows_per_task=1000)
+    parts = (layout.even(spark), layout.heavy(spark))
+    return reduce(DataFrame.unionAll, [clients.client_ltv(fees, clients.client_dimension(fees)) for fees in parts])
+
+
 def client_ltv_yearly(spark, sf_dir):
     fees = _staged(spark, sf_dir)
     return clients.client_ltv(fees, clients.client_dimension(fees), windows=(12, 24))
@@ -286,6 +296,10 @@ def daily_anomaly_events(spark, sf_dir):
     return monitoring.daily_anomalies(staging.stage_fees(event_ledger(spark, sf_dir)), days=7, sigmas=1.0)
 
 
+def calendar_anomaly(spark, sf_dir):
+    return monitoring.calendar_anomalies(_staged(spark, sf_dir).where("dayofweek(fee_date) <> 1"), days=14, sigmas=2.0)
+
+
 def layer_counts(spark, sf_dir):
     return monitoring.layer_counts(_build(spark, sf_dir, "raw"))
 
@@ -348,6 +362,10 @@ def pii_masked(spark, sf_dir):
     return privacy.mask_pii(_staged(spark, sf_dir), FEE_SCHEMA)
 
 
+def pii_masked_keyed(spark, sf_dir):
+    return privacy.mask_pii_keyed(_staged(spark, sf_dir), FEE_SCHEMA, "a secret for the tests alone")
+
+
 def pii_scan(spark, sf_dir):
     patterns = {"nino": r"^NI[0-9]+X?$", "md5": r"^[0-9a-f]{32}$"}
     return privacy.scan_for_pii(_staged(spark, sf_dir, "faulty"), patterns)
@@ -372,6 +390,7 @@ QUERIES = {
         dim_clients,
         client_ltv,
         client_ltv_single_pass,
+        client_ltv_by_layout,
         client_ltv_yearly,
         client_ltv_events,
         cohort_ltv,
@@ -397,6 +416,7 @@ QUERIES = {
         freshness,
         daily_anomaly,
         daily_anomaly_events,
+        calendar_anomaly,
         layer_counts,
         count_changes,
         recorded_counts,
@@ -407,6 +427,7 @@ QUERIES = {
         compare_builds,
         trace_to_raw,
         pii_masked,
+        pii_masked_keyed,
         pii_scan,
         pii_scan_documents,
     )
