@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,6 +17,26 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+# Fixed value: the code points that the pattern's \s matches. The runs of it that are split before the encoder sees them.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
+
+def count_tokens(encoder, text: str) -> int:
+    """Tokens of a text under PATTERN, of any length.
+
+    The pattern backtracks over a run of white space, and overflows its stack on a run of a million. A run is one piece
+    up to its last character, which goes with what follows, or up to its end at the end of the text: so it is encoded as that
+    piece, without the pattern, and the count stays the same.
+    """
+    total = start = 0
+    for run in LONG_BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoder.encode_ordinary(text[start : run.start()]))
+        total += len(encoder._encode_single_piece(text[run.start() : end]))
+        start = end
+    return total + len(encoder.encode_ordinary(text[start:]))
+
+
 def _encoder(ranks: str, pattern: str):
     import tiktoken
 
@@ -25,12 +46,17 @@ def _encoder(ranks: str, pattern: str):
 
 
 def token_lengths(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
-    """n_tokens of every whole text; null and empty texts have 0. ``ranks`` is a local path on every executor."""
+    """n_tokens of every whole text, a row for each row; null and empty texts have 0.
+
+    ``ranks`` is a local path on every executor. Texts may be of any length under PATTERN; a pattern of your own must
+    itself bear long runs. Repeated rows count each time.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, pattern)
         for batch in batches:
-            lengths = [len(encoder.encode_ordinary(t.as_py() or "")) for t in batch.column(0)]
+            texts = (t.as_py() or "" for t in batch.column(0))
+            lengths = [count_tokens(encoder, t) if pattern == PATTERN else len(encoder.encode_ordinary(t)) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], ["n_tokens"])
 
     return docs.select("text").mapInArrow(count, "n_tokens bigint")
