@@ -17,11 +17,24 @@ SLICE_BYTES = 1 << 20
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+# Shuffle files go when the query that made them is done, not when the driver happens to collect its garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back: cuts the lineage, survives lost executors."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared scratch folder and read back: cuts the lineage, survives lost executors.
+
+    The shuffle files behind it are removed once it is written: nothing reads them any more.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
