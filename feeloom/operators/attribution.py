@@ -57,14 +57,18 @@ def adviser_tenure(fees: DataFrame) -> DataFrame:
     """(client_id, adviser_id, tenure_units, client_units): millionths of a day each adviser looked after a client.
 
     The advisers of a fee day share the time until the client's next fee day equally; the last fee day counts one day.
-    Every pair of client and adviser is counted. A client brings one row per day and adviser to its exchange.
+    Every pair of client and adviser is counted. A client brings one row per day and adviser to the one exchange by
+    client; all the windows and sums over them keep that layout, and spill if a client has very many advisers.
     """
     served = fees.select("client_id", "fee_date", "adviser_id").distinct()
-    days = served.groupBy("client_id", "fee_date").agg(F.count("*").alias("advisers"))
-    until = F.coalesce(F.lead("fee_date").over(Window.partitionBy("client_id").orderBy("fee_date")), F.date_add("fee_date", 1))
-    length = F.date_diff(until, F.col("fee_date")).cast("bigint") * DAY_UNITS
-    each = days.select("client_id", "fee_date", F.call_function("div", length, F.col("advisers")).alias("units"))
-    pairs = served.join(each, ["client_id", "fee_date"]).groupBy("client_id", "adviser_id").agg(F.sum("units").alias("tenure_units"))
+    served = served.repartition("client_id")
+    day = F.unix_date("fee_date")
+    advisers = F.count("*").over(Window.partitionBy("client_id", "fee_date"))
+    # From the latest day back, the smallest of the later days is the next one.
+    later = Window.partitionBy("client_id").orderBy(day.desc()).rangeBetween(Window.unboundedPreceding, -1)
+    length = F.coalesce(F.min(day).over(later) - day, F.lit(1)).cast("bigint") * DAY_UNITS
+    each = served.select("client_id", "adviser_id", F.call_function("div", length, advisers).alias("units"))
+    pairs = each.groupBy("client_id", "adviser_id").agg(F.sum("units").alias("tenure_units"))
     return pairs.withColumn("client_units", F.sum("tenure_units").over(Window.partitionBy("client_id")))
 
 

@@ -24,11 +24,12 @@ def _total(column: str) -> Column:
     return units_to_double(F.col(column))
 
 
-def exact_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+def exact_median(df: DataFrame, key: str, value: str, out: str, few_keys: bool = False) -> DataFrame:
     """(key, out): the value at place ceil(n / 2) of each key's n sorted values (BIGINT, NULLs left out).
 
     Equal values are counted first, map-side. The distinct values of a key are cut into bands by a monotone function;
     the band totals show which band holds the place, and only the values of that band meet in one task.
+    ``few_keys``: the keys are as few as the months of a calendar, so the middle bands, one row each, are broadcast.
     """
     counts = df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
     counts = counts.withColumn("_band", value_band(value))
@@ -38,7 +39,8 @@ def exact_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     before = F.coalesce(F.sum("_in_band").over(whole.orderBy("_band").rowsBetween(*preceding)), F.lit(0))
     bands = bands.withColumns({"_before": before, "_place": F.floor((F.sum("_in_band").over(whole) + 1) / 2).cast("bigint")})
     middle = bands.where((F.col("_before") < F.col("_place")) & (F.col("_before") + F.col("_in_band") >= F.col("_place")))
-    inside = counts.join(middle.select(key, "_band", "_before", "_place"), [key, "_band"])
+    middle = middle.select(key, "_band", "_before", "_place")
+    inside = counts.join(F.broadcast(middle) if few_keys else middle, [key, "_band"])
     reached = F.col("_before") + F.sum("_n").over(Window.partitionBy(key, "_band").orderBy(value))
     return inside.withColumn("_reached", reached).where("_reached >= _place").groupBy(key).agg(F.min(value).alias(out))
 
@@ -51,7 +53,7 @@ def cohort_ltv_from_values(values: DataFrame, windows: Sequence[int] = LTV_WINDO
         F.count("*").alias("client_count"),
         *[F.sum(ltv_column(n)).alias(ltv_column(n)) for n in windows],
     )
-    sums = sums.join(exact_median(values, "cohort_month", longest, "median"), "cohort_month", "left")
+    sums = sums.join(exact_median(values, "cohort_month", longest, "median", few_keys=True), "cohort_month", "left")
     return sums.select(
         "cohort_month",
         "client_count",

@@ -9,7 +9,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from feeloom.operators.attribution import fee_weighted_ltv
+from feeloom.operators.attribution import adviser_tenure, fee_weighted_ltv
 from feeloom.operators.checks import ltv_recomputation
 from feeloom.operators.clients import client_dimension, client_ltv, daily_units
 from feeloom.operators.monitoring import calendar_anomalies
@@ -136,3 +136,19 @@ def test_a_silent_day_is_a_row_and_anomalous(ledger):
     # A silent stretch stops being news once most days before it were silent too.
     assert day(40)["anomalous"] and not day(60)["anomalous"] and day(60)["silent"]
     assert calendar_anomalies(ledger()).count() == 0
+
+
+def test_tenure_takes_one_exchange_by_client(spark, ledger):
+    fees = stage_fees(ledger(fee("A", "a", "2025-01-05", 1.0)))
+    text = plan(adviser_tenure(fees.select("client_id", "fee_date", "adviser_id")), "simple")
+    # The source rows are staged (one) and made distinct (one); clients are dealt out once.
+    assert text.count("Exchange") <= 3 and len(re.findall(r"hashpartitioning\(client_id#\d+, \d+\)", text)) == 1
+
+
+def test_tenure_by_hand(ledger):
+    days = ["2025-01-01", "2025-01-01", "2025-01-04", "2025-01-04", "2025-01-04", "2025-03-01"]
+    fees = ledger(*[fee("A", a, d, 1.0 + i) for i, (a, d) in enumerate(zip("abaacb", days, strict=True))], fee("B", "a", "2025-02-01", 1.0))
+    got = {(r["client_id"], r["adviser_id"]): (r["tenure_units"], r["client_units"]) for r in adviser_tenure(fees).collect()}
+    # 3 days shared by a and b, 56 by a and c, the last day b's.
+    whole = 60_000_000
+    assert got == {("A", "a"): (29_500_000, whole), ("A", "b"): (2_500_000, whole), ("A", "c"): (28_000_000, whole), ("B", "a"): (1_000_000, 1_000_000)}
