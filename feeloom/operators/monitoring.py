@@ -254,3 +254,55 @@ def trace_to_raw(raw: DataFrame, fees: DataFrame, clients: DataFrame, scale: int
     served = drop_incomplete(raw).join(clients.select("client_id"), "client_id", "left_semi")
     complete = served.withColumn("fee_id", fee_key(scale))
     return complete.join(counted, "fee_id", "left_semi")
+
+
+def trace_to_file(raw: DataFrame, fees: DataFrame, clients: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
+    """trace_to_raw() down to the file: ``raw`` was loaded by read_fees_csv_traced() and written.
+
+    Adds source_row, the number of the record in source_file, from 1 and without the header. The first record of a file
+    is found by a map-side minimum over all its rows, one row for each file from then on.
+    """
+    firsts = raw.groupBy("source_file").agg(F.min("source_id").alias("first_id"))
+    traced = trace_to_raw(raw, fees, clients, scale).join(firsts, "source_file")
+    return traced.withColumn("source_row", F.col("source_id") - F.col("first_id") + 1).drop("first_id", "source_id")
+
+
+def row_fingerprints(df: DataFrame, by: str, key: str) -> DataFrame:
+    """(``by``, rows, fingerprint) for each value of ``by``: a checksum of its rows that does not depend on their order.
+
+    Two 32-bit halves of each row's hash are summed, so the sums stay within a BIGINT, copies count, and the aggregate is partial.
+    NULLs are told from texts. ``key`` is hashed like any column; it is named here so that a table without it fails early.
+    """
+    names = sorted(df.columns)
+    df.select(key)
+    parts = [p for c in names for p in (F.col(c).isNull(), F.col(c))]
+    h = F.xxhash64(*parts)
+    low, high = h.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")), F.shiftrightunsigned(h, 32)
+    sums = df.select(by, low.alias("low"), high.alias("high")).groupBy(by).agg(F.count("*").alias("rows"), F.sum("low").alias("low"), F.sum("high").alias("high"))
+    return sums.select(by, "rows", F.concat_ws(":", "low", "high").alias("fingerprint"))
+
+
+def changed_rows(before: DataFrame, after: DataFrame, by: str = "fee_date", key: str = "fee_id") -> DataFrame:
+    """(``by``, ``key``, change) of the rows that two builds of a table do not share: "added", "removed" or "changed".
+
+    First the fingerprints of both builds are compared, one row for each day; then rows are compared only for the days that
+    differ, which on tables partitioned by ``by`` are all that is read the second time. ``key`` is unique in each
+    build; a NULL day or key equals another NULL. Columns that only one build has are not compared.
+    """
+    shared = [c for c in before.columns if c in after.columns]
+    before, after = before.select(*shared), after.select(*shared)
+    left, right = (row_fingerprints(df, by, key).select(F.col(by).alias("d"), F.col("fingerprint").alias(name)) for df, name in ((before, "f"), (after, "g")))
+    differ = left.withColumnRenamed("d", "d1").join(right.withColumnRenamed("d", "d2"), F.expr("d1 <=> d2"), "full").where("NOT (f <=> g)")
+    # One row for each day.
+    days = [r["d"] for r in differ.select(F.coalesce("d1", "d2").alias("d")).collect()]
+    known = [d for d in days if d is not None]
+    chosen = F.col(by).isin(known) | (F.col(by).isNull() if len(known) < len(days) else F.lit(False))
+    others = [c for c in shared if c not in (by, key)]
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        content = F.xxhash64(*[p for c in others for p in (F.col(c).isNull(), F.col(c))]) if others else F.lit(0)
+        return df.where(chosen).select(F.col(by).alias(f"{tag}_by"), F.col(key).alias(f"{tag}_key"), content.alias(f"{tag}_content"))
+
+    both = side(before, "b").join(side(after, "a"), F.expr("b_by <=> a_by AND b_key <=> a_key"), "full")
+    change = F.when(F.col("b_content").isNull(), "added").when(F.col("a_content").isNull(), "removed").when(F.col("a_content") != F.col("b_content"), "changed")
+    return both.select(F.coalesce("b_by", "a_by").alias(by), F.coalesce("b_key", "a_key").alias(key), change.alias("change")).where("change IS NOT NULL")

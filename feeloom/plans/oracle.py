@@ -461,6 +461,33 @@ SELECT {FEE_ID} AS fee_id, client_id, client_nino, adviser_id, fee_date, CAST(fe
 FROM raw_fees
 WHERE client_id IN (SELECT client_id FROM dim WHERE first_adviser_id IN (SELECT adviser_id FROM best))"""
 
+    q["trace_to_file"] = f"""{clean},
+best AS (SELECT adviser_id FROM ({adviser_report()}) ORDER BY rank_by_ltv_6_month, adviser_id LIMIT 1),
+records AS (
+  SELECT *, strftime(fee_date, '%Y-%m') AS source_month,
+         row_number() OVER (PARTITION BY strftime(fee_date, '%Y-%m')
+                            ORDER BY client_id NULLS FIRST, client_nino, adviser_id, fee_date, fee_amount) AS source_row
+  FROM raw_fees)
+SELECT {FEE_ID} AS fee_id, client_id, adviser_id, fee_date, CAST(fee_amount AS DOUBLE) AS fee_amount, source_month, source_row
+FROM records
+WHERE client_id IN (SELECT client_id FROM dim WHERE first_adviser_id IN (SELECT adviser_id FROM best))"""
+    fault = "CASE WHEN l_tax = 0 THEN CAST(l_quantity AS INTEGER) ELSE 0 END"
+    q["quarantine_by_column"] = f"""WITH written AS (
+  SELECT {fault} AS fault, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+judged AS (
+  SELECT fault, amount, CASE fault WHEN 1 THEN 'client_id: missing' WHEN 3 THEN 'fee_date: not a date'
+                WHEN 4 THEN 'fee_date: not a date; fee_amount: not a number' WHEN 5 THEN 'fee_amount: not a number'
+                WHEN 6 THEN 'wrong number of columns' WHEN 7 THEN 'wrong number of columns' ELSE '' END AS reason
+  FROM written)
+SELECT CASE WHEN reason = '' THEN 'accepted' ELSE 'rejected' END AS outcome, reason, count(*) AS "rows",
+       CAST(sum(amount) FILTER (fault NOT IN (4, 5, 7)) AS DOUBLE) AS total_fees,
+       count(*) FILTER (reason <> '') AS records_kept, count(*) FILTER (fault = 2) AS quoted_newlines
+FROM judged GROUP BY reason"""
+    q["landing_freshness"] = with_(LINES) + " SELECT count(DISTINCT year(fee_date)) AS files, true AS has_bytes, true AS recent, false AS stale FROM lines"
+    q["changed_fees"] = incremental + """
+SELECT fee_date, fee_id, 'added' AS change FROM recent WHERE fee_id NOT IN (SELECT fee_id FROM early)
+UNION ALL
+SELECT r.fee_date, r.fee_id, 'changed' FROM recent r JOIN early e ON e.fee_id = r.fee_id WHERE r.client_nino <> e.client_nino"""
     q["pii_masked"] = f"""{raw_stg}
 SELECT fee_id, client_id, sha256(client_nino) AS client_nino, adviser_id, fee_date,
        CAST(fee_amount AS DOUBLE) AS fee_amount FROM stg"""

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from feeloom.functions.money import to_units, units_to_double
 from feeloom.operators import attribution, checks, clients, monitoring, privacy, reports, staging
@@ -15,8 +16,8 @@ from feeloom.schemas import FEE_SCHEMA, STAGED_SCHEMA
 from feeloom.session import scratch_dir
 from feeloom.sinks.by_client import write_by_client
 from feeloom.sinks.tables import overwrite_table, upsert_by_partition
-from feeloom.sinks.versions import restore_snapshot
-from feeloom.sources.csv_files import quarantine_fees_csv
+from feeloom.sinks.versions import read_snapshot, restore_snapshot, snapshot
+from feeloom.sources.csv_files import file_freshness, quarantine_fees_csv, read_fees_csv_traced, sort_out_fees_csv
 from feeloom.sources.tables import high_water_mark, read_table
 from feeloom.sources.testdata import event_ledger, fee_ledger
 from feeloom.streaming.arrivals import stage_arrivals
@@ -358,6 +359,75 @@ def trace_to_raw(spark, sf_dir):
     return monitoring.trace_to_raw(fee_ledger(spark, sf_dir, "raw"), fees, served)
 
 
+def trace_to_file(spark, sf_dir):
+    """The fees behind the best adviser's value, each with the file and the record that brought it."""
+    root = scratch_dir(spark, "trace")
+    ledger = fee_ledger(spark, sf_dir, "raw").withColumn("month", F.date_format("fee_date", "yyyy-MM"))
+    # One file a month, its records in the order of their columns.
+    files = ledger.repartition("month").sortWithinPartitions("month", *FEE_SCHEMA.fieldNames())
+    files.write.partitionBy("month").csv(f"{root}/files", header=True)
+    path = f"{root}/raw"
+    overwrite_table(read_fees_csv_traced(spark, f"{root}/files/*/*.csv"), path, ["fee_date"])
+    raw = read_table(spark, path, StructType([*FEE_SCHEMA.fields, StructField("source_file", StringType()), StructField("source_id", LongType())]))
+    fees = staging.stage_fees(raw)
+    dimension, ltv = _client_tables(fees)
+    best = reports.top_advisers(reports.adviser_ltv(dimension, ltv), 1).select("adviser_id")
+    served = dimension.join(best, dimension.first_adviser_id == best.adviser_id, "left_semi")
+    traced = monitoring.trace_to_file(raw, fees, served)
+    month = F.regexp_extract("source_file", "month=([0-9-]+)/", 1)
+    return traced.select("fee_id", "client_id", "adviser_id", "fee_date", "fee_amount", month.alias("source_month"), "source_row")
+
+
+def _faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fees as CSV text, some written badly, as attributes of the line tell."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").join(spark.read.parquet(f"{sf_dir}/orders.parquet"), F.expr("l_orderkey = o_orderkey"))
+    fault = F.when(F.col("l_tax") == 0, F.col("l_quantity").cast("int"))
+    client, date, amount = F.col("o_custkey").cast("string"), F.col("o_orderdate").cast("date").cast("string"), F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    cells = {
+        "client_id": F.when(fault == 1, "").otherwise(client),
+        "client_nino": F.when(fault == 2, F.concat(F.lit('"NI\n'), client, F.lit('"'))).otherwise(F.concat(F.lit("NI"), client)),
+        "adviser_id": F.col("l_suppkey").cast("string"),
+        "fee_date": F.when(fault.isin(3, 4), "1996-02-31").otherwise(date),
+        "fee_amount": F.when(fault.isin(4, 5), F.concat(amount, F.lit("d"))).when(fault == 6, F.concat(amount, F.lit(",extra"))).otherwise(amount),
+    }
+    whole = F.concat_ws(",", *cells.values())
+    short = F.concat_ws(",", *list(cells.values())[:-1])
+    return lines.select(F.when(fault == 7, short).otherwise(whole).alias("value"))
+
+
+def quarantine_by_column(spark, sf_dir):
+    root = scratch_dir(spark, "sorted-out")
+    header = spark.createDataFrame([(",".join(FEE_SCHEMA.fieldNames()),)], "value string")
+    # Every file begins with the header: 16 files of lines, each below its own.
+    lines = _faulty_lines(spark, sf_dir).withColumn("file", F.pmod(F.xxhash64("value"), F.lit(16)).cast("int"))
+    headers = header.select("value", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("file"))
+    ordered = headers.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1))).repartition("file").sortWithinPartitions("file", "at")
+    ordered.select("value", "file").write.partitionBy("file").text(f"{root}/files")
+    sort_out_fees_csv(spark, f"{root}/files/*/*.txt").write.partitionBy("outcome").parquet(f"{root}/records")
+    found = spark.read.parquet(f"{root}/records").withColumn("reason", F.array_join("reasons", "; "))
+    units = F.sum(to_units(F.col("fee_amount")))
+    return found.groupBy("outcome", "reason").agg(
+        F.count("*").alias("rows"), units_to_double(units).alias("total_fees"), F.count("record").alias("records_kept"),
+        F.count_if(F.col("client_nino").contains("\n")).alias("quoted_newlines"),
+    )
+
+
+def landing_freshness(spark, sf_dir):
+    folder = f"{scratch_dir(spark, 'landing')}/files"
+    fee_ledger(spark, sf_dir).withColumn("year", F.year("fee_date")).repartition("year").write.partitionBy("year").csv(folder, header=True)
+    return file_freshness(spark, f"{folder}/*/*.csv").select("files", (F.col("bytes") > 0).alias("has_bytes"), (F.col("age_days") <= 1).alias("recent"), "stale")
+
+
+def changed_fees(spark, sf_dir):
+    """The fees that differ between the first load and the upserted staging table."""
+    store = Warehouse(scratch_dir(spark, "changed"), versioned=True)
+    store.write(staging.stage_fees(_earlier_ledger(spark, sf_dir)), "stg_fees", "fee_date")
+    store.write(fee_ledger(spark, sf_dir, "raw").dropna(subset=["fee_date"]), "fees", "fee_date")
+    build_staging(spark, store)
+    first, second = (read_snapshot(spark, store.path("stg_fees"), snapshot(spark, store.path("stg_fees"), n)) for n in (1, 2))
+    return monitoring.changed_rows(first, second)
+
+
 def pii_masked(spark, sf_dir):
     return privacy.mask_pii(_staged(spark, sf_dir), FEE_SCHEMA)
 
@@ -413,6 +483,8 @@ QUERIES = {
         fee_weighted,
         backfill_range,
         quarantine_summary,
+        quarantine_by_column,
+        landing_freshness,
         freshness,
         daily_anomaly,
         daily_anomaly_events,
@@ -426,6 +498,8 @@ QUERIES = {
         reconcile_ltv,
         compare_builds,
         trace_to_raw,
+        trace_to_file,
+        changed_fees,
         pii_masked,
         pii_masked_keyed,
         pii_scan,

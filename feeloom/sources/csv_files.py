@@ -59,6 +59,73 @@ def read_fees_csv(
     return _read(spark, glob, schema, quoted_newlines, mode="FAILFAST").select(*names)
 
 
+SOURCE_COLUMNS = ["source_file", "source_id"]
+
+
+def read_fees_csv_traced(
+    spark: SparkSession,
+    glob: str,
+    schema: StructType = FEE_SCHEMA,
+) -> DataFrame:
+    """As read_fees_csv(), with two columns to carry into the raw table: source_file, and source_id, which rises by one
+    from record to record of a file (each file is parsed by one task). Write the rows before using source_id: it is drawn
+    anew whenever the files are read. ``monitoring.trace_to_file`` turns it into the record's number.
+    """
+    rows = _read(spark, glob, schema, True, mode="FAILFAST")
+    return rows.select(*schema.fieldNames(), "source_file", F.monotonically_increasing_id().alias("source_id"))
+
+
+# What a text must look like to be read as a number; a cast alone also takes words and suffixes.
+NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def sort_out_fees_csv(spark: SparkSession, glob: str, schema: StructType = FEE_SCHEMA) -> DataFrame:
+    """Every record of the files, in one scan: the columns of ``schema`` and source_file, outcome, reasons, record.
+
+    outcome is "accepted" or "rejected". reasons (an array) has an entry for each bad column of a rejected record: "<column>: missing"
+    for a NULL where one is required, "<column>: not a date" or "not a number" for a text that cannot be read as its type; or the
+    one entry "wrong number of columns". record is the text of a rejected record of the wrong length, its cells
+    joined by commas otherwise, and NULL if accepted. A cell that cannot be read is NULL. Quoted cells may hold newlines.
+    Write the rows once, partitioned by outcome.
+    """
+    texts = StructType([*(StructField(f.name, StringType()) for f in schema.fields), StructField(CORRUPT, StringType())])
+    rows = _read(spark, glob, texts, True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    cells, reasons = {}, []
+    for field in schema.fields:
+        name, kind = field.name, field.dataType.typeName()
+        text = F.trim(F.col(name)) if kind != "string" else F.col(name)
+        value = text.try_cast(field.dataType)
+        if kind in ("double", "float", "integer", "long", "decimal"):
+            value = F.when(text.rlike(NUMBER), value)
+        cells[name] = value
+        what = {"date": "not a date", "timestamp": "not a time"}.get(kind, "not a number")
+        missing = F.lit(f"{name}: missing") if not field.nullable else F.lit(None).cast("string")
+        reasons.append(F.when(F.col(name).isNull(), missing).when(value.isNull(), F.lit(f"{name}: {what}")))
+    whole = F.col(CORRUPT).isNull()
+    found = F.when(whole, F.array_compact(F.array(*reasons))).otherwise(F.array(F.lit("wrong number of columns")))
+    names = schema.fieldNames()
+    written = F.coalesce(CORRUPT, F.array_join(F.array(*[F.col(c) for c in names]), ",", ""))
+    sorted_out = rows.withColumns({"reasons": found, "record": written}).withColumn(
+        "outcome", F.when(F.size("reasons") == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
+    )
+    record = F.when(F.col("outcome") == "rejected", F.col("record")).alias("record")
+    return sorted_out.select(*[v.alias(n) for n, v in cells.items()], "source_file", "outcome", "reasons", record)
+
+
+def file_freshness(spark: SparkSession, glob: str, max_age_days: int = 3) -> DataFrame:
+    """One row on the files that ``glob`` matches: files, bytes, newest (modification time), age_days, stale.
+
+    The files are listed, not opened. No files: 0, 0, NULLs and stale.
+    """
+    listed = spark.read.format("binaryFile").load(glob).select("modificationTime", "length")
+    newest = F.max("modificationTime")
+    age = F.date_diff(F.current_date(), newest.cast("date")).cast("bigint")
+    return listed.agg(
+        F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), newest.alias("newest"), age.alias("age_days"),
+        F.coalesce(age > max_age_days, F.lit(True)).alias("stale"),
+    )
+
+
 def require_not_null(df: DataFrame, columns: list[str] = FEE_COLUMNS) -> DataFrame:
     """``df`` with a guard on each required column: a NULL fails the job that computes it.
 
