@@ -483,6 +483,16 @@ SELECT CASE WHEN reason = '' THEN 'accepted' ELSE 'rejected' END AS outcome, rea
        CAST(sum(amount) FILTER (fault NOT IN (4, 5, 7)) AS DOUBLE) AS total_fees,
        count(*) FILTER (reason <> '') AS records_kept, count(*) FILTER (fault = 2) AS quoted_newlines
 FROM judged GROUP BY reason"""
+    cases = [
+        ("(4, 5)", [("adviser_id", "missing", 3), ("fee_date", "moved", 3), ("fee_amount", "moved", 4)]),
+        ("(6, 7)", [("currency", "extra", 6)]),
+        ("(8, 9)", [("client_nino", "renamed", 2)]),
+        ("(10, 11, 12)", [("client_id", "moved", 5), ("client_nino", "moved", 4), ("fee_date", "moved", 2), ("fee_amount", "moved", 1)]),
+    ]
+    q["header_drift"] = with_(LINES, "months AS (SELECT DISTINCT strftime(fee_date, '%Y-%m') AS month, month(fee_date) AS m FROM lines)") + " UNION ALL ".join(
+        f" SELECT month, '{column}' AS column_name, '{drift}' AS drift, {position} AS position FROM months WHERE m IN {months}"
+        for months, drifts in cases for column, drift, position in drifts
+    )
     q["landing_freshness"] = with_(LINES) + " SELECT count(DISTINCT year(fee_date)) AS files, true AS has_bytes, true AS recent, false AS stale FROM lines"
     q["changed_fees"] = incremental + """
 SELECT fee_date, fee_id, 'added' AS change FROM recent WHERE fee_id NOT IN (SELECT fee_id FROM early)

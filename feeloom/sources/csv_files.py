@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from feeloom.schemas import FEE_COLUMNS, FEE_SCHEMA
+from feeloom.sources.files import hadoop_path
 
 CORRUPT = "_corrupt_record"
 
@@ -75,6 +76,43 @@ def read_fees_csv_traced(
     return rows.select(*schema.fieldNames(), "source_file", F.monotonically_increasing_id().alias("source_id"))
 
 
+def header_contract(spark: SparkSession, glob: str, schema: StructType = FEE_SCHEMA) -> DataFrame:
+    """(source_file, column_name, drift, position) for every file whose header is not that of ``schema``; no rows if all are.
+
+    drift: "missing", "extra", "moved" (at another place; position is its own, from 1), "renamed" (an unknown name where a
+    missing column belongs; column_name is the declared one) or "empty file" (no header at all). Case counts; blanks around a name
+    and its quotes do not. The files are scanned once as splittable text, of which one line for each file and task is kept,
+    so a contract is checked before the columns of a load are trusted.
+    """
+    declared = schema.fieldNames()
+    lines = spark.read.text(glob).select("value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    first = lines.where("block = 0").groupBy("source_file").agg(F.min_by("value", "id").alias("header"))
+    # Spark's scans pass over files without a byte; the listing has them.
+    fs, pattern = hadoop_path(spark, glob)
+    listed = [status.getPath() for status in fs.globStatus(pattern) or [] if status.isFile() and status.getLen() == 0]
+    listed = spark.createDataFrame([(p.toUri().toString(),) for p in listed], "source_file string")
+    cells = F.transform(F.split(F.regexp_replace("header", "^\ufeff|\r$", ""), ","), lambda c: F.regexp_replace(F.trim(c), '^"|"$', ""))
+    found = first.withColumn("names", cells)
+    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(i).alias("place")) for i, n in enumerate(declared, 1)])
+
+    def of_declared(x):
+        at = F.array_position("names", x["name"]).cast("int")
+        here = F.get("names", x["place"] - 1)
+        stranger = here.isNotNull() & ~F.array_contains(F.lit(declared), here)
+        drift = F.when((at == 0) & stranger, "renamed").when(at == 0, "missing").when(at != x["place"], "moved")
+        return F.struct(x["name"].alias("column_name"), drift.alias("drift"), F.when(at == 0, x["place"]).otherwise(at).alias("position"))
+
+    def of_extra(name, i):
+        stands_for = F.get(F.lit(declared), i)
+        replaces = stands_for.isNotNull() & ~F.array_contains("names", stands_for)
+        drift = F.when(~F.array_contains(F.lit(declared), name) & ~F.coalesce(replaces, F.lit(False)), "extra")
+        return F.struct(name.alias("column_name"), drift.alias("drift"), (i + 1).alias("position"))
+
+    drifts = F.filter(F.concat(F.transform(wanted, of_declared), F.transform("names", of_extra)), lambda x: x["drift"].isNotNull())
+    empty = listed.select("source_file", F.lit(None).cast("string").alias("column_name"), F.lit("empty file").alias("drift"), F.lit(None).cast("int").alias("position"))
+    return found.select("source_file", F.inline(drifts)).unionByName(empty)
+
+
 # What a text must look like to be read as a number; a cast alone also takes words and suffixes.
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 

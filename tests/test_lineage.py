@@ -11,7 +11,7 @@ from feeloom.operators.monitoring import changed_rows, row_fingerprints, trace_t
 from feeloom.operators.staging import stage_fees
 from feeloom.schemas import FEE_SCHEMA
 from feeloom.sinks import overwrite_table
-from feeloom.sources.csv_files import file_freshness, read_fees_csv, read_fees_csv_traced, sort_out_fees_csv
+from feeloom.sources.csv_files import file_freshness, header_contract, read_fees_csv, read_fees_csv_traced, sort_out_fees_csv
 from feeloom.sources.tables import read_table
 from tests.conftest import fee, rows
 from tests.test_plans import plan
@@ -112,3 +112,20 @@ def test_changed_rows(spark, ledger, tmp_path):
     assert plan(found).count("PartitionFilters: [fee_date") == 2 or "IN" in plan(found)
     assert changed_rows(before, before).isEmpty()
     assert changed_rows(before.where("false"), before).where("change <> 'added'").isEmpty()
+
+
+def test_headers_are_held_to_the_contract(spark, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    texts = {
+        "good": HEADER + "\nA,N,a,2025-01-05,1.0\n", "bom": "﻿" + HEADER.replace("client_id", ' "client_id" ') + "\r\nx\r\n", "only_header": HEADER,
+        "renamed": HEADER.replace("adviser_id", "advisor") + "\n", "short": "client_id,client_nino,adviser_id,fee_date\n1,2,3,4\n", "none": "",
+        "extra": HEADER + ",a,b\n", "moved": "client_nino,client_id,adviser_id,fee_date,fee_amount\n",
+    }
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_bytes(text.encode())
+    found = header_contract(spark, f"{folder}/*.csv")
+    assert sorted((os.path.basename(r["source_file"])[:-4], r["column_name"] or "", r["drift"], r["position"] or 0) for r in found.collect()) == [
+        ("extra", "a", "extra", 6), ("extra", "b", "extra", 7), ("moved", "client_id", "moved", 2), ("moved", "client_nino", "moved", 1),
+        ("none", "", "empty file", 0), ("renamed", "adviser_id", "renamed", 3), ("short", "fee_amount", "missing", 5),
+    ]

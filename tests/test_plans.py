@@ -16,7 +16,7 @@ from feeloom.sources.testdata import fee_ledger
 SF_DIR = "/root/testdata/sf0.001"
 LAZY = [n for n in QUERIES if n not in {
     "stg_upsert", "stg_append_columns", "backfill_range", "ingest_summary", "quarantine_summary", "stream_arrivals",
-    "refresh_run", "refresh_run_versioned", "published_versions", "trace_to_file", "quarantine_by_column", "landing_freshness", "changed_fees", "client_ltv_by_layout", "stg_incremental_slice", "late_rows_skipped",
+    "refresh_run", "refresh_run_versioned", "published_versions", "header_drift", "check_summary", "check_summary_faulty", "layer_counts", "compare_builds", "trace_to_file", "quarantine_by_column", "landing_freshness", "changed_fees", "client_ltv_by_layout", "stg_incremental_slice", "late_rows_skipped",
 }]
 
 
