@@ -28,6 +28,16 @@ def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct, so that no name in it can clash with those an operator adds."""
+    return F.struct(*[docs[c] for c in docs.columns])
+
+
+def unpacked(docs: DataFrame, row: str = "row", **replaced: Column) -> list[Column]:
+    """The columns of ``docs`` out of its ``packed_row``, in order; some may be replaced."""
+    return [replaced[c].alias(c) if c in replaced else F.col(row).getField(c).alias(c) for c in docs.columns]
+
+
 def row_key(id_col: Column, text: Column) -> Column:
     """64-bit key of a row by id and text, never null: rows without an id and differing texts of one id are told apart."""
     return F.xxhash64(id_col.isNull(), id_col, text.isNull(), text)

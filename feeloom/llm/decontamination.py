@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feeloom.llm.common import materialize, mix64, powers, row_key, text_slices, words_of
+from feeloom.llm.common import materialize, mix64, packed_row, powers, row_key, text_slices, unpacked, words_of
 
 # Edits allowed for each word of an item: similarity 0.8 or more.
 EDIT_SHARE = 0.2
@@ -258,4 +258,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that contain a benchmark item, whatever their id; all columns kept."""
     key = row_key(F.col("doc_id"), F.col("text"))
     bad = benchmark_matches(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("bad_key")).distinct()
-    return docs.join(bad, key == F.col("bad_key"), "left_anti")
+    rows = docs.select(packed_row(docs).alias("row"), key.alias("row_key"))
+    return rows.join(bad, F.col("row_key") == F.col("bad_key"), "left_anti").select(*unpacked(docs))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feeloom.llm.common import WORD, lower_ascii, materialize, mix64, row_key, shingles_of, shuffle_partitions, text_slices, words_of
+from feeloom.llm.common import WORD, lower_ascii, materialize, mix64, packed_row, row_key, shingles_of, shuffle_partitions, text_slices, unpacked, words_of
 from feeloom.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -327,9 +327,11 @@ def keep_first_of_group(docs: DataFrame, size: int = 5, percent: int = 80) -> Da
     ranked = materialize(grouped.join(ids, "row"), "jaccard-ranked")
     first = ranked.groupBy("component_id").agg(F.min(F.struct("no_id", "doc_id", "row")).alias("first"))
     drop = ranked.join(first, "component_id").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("drop_key"))
-    kept = docs.join(drop, key == F.col("drop_key"), "left_anti")
+    rows = docs.select(packed_row(docs).alias("row"), key.alias("row_key"), "doc_id", "text")
+    kept = rows.join(drop, F.col("row_key") == F.col("drop_key"), "left_anti")
     named, unnamed = kept.where("doc_id is not null"), kept.where("doc_id is null")
     words = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD))
-    order = Window.partitionBy("text").orderBy(*[F.xxhash64(c) for c in docs.columns], *[c for c in docs.columns if c != "text"])
+    fields = [F.col("row").getField(c) for c in docs.columns]
+    order = Window.partitionBy("text").orderBy(*[F.xxhash64(c) for c in fields], *[F.col("row").getField(c) for c in docs.columns if c != "text"])
     one = unnamed.where(words).withColumn("nth_copy", F.row_number().over(order)).where("nth_copy = 1").drop("nth_copy")
-    return named.unionByName(unnamed.where(~words)).unionByName(one)
+    return named.unionByName(unnamed.where(~words)).unionByName(one).select(*unpacked(docs))

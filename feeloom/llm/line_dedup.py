@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feeloom.llm.common import materialize, row_key
+from feeloom.llm.common import materialize, packed_row, row_key, unpacked
 
 # A line ends a chunk when the hash of it and the line before it is 0 modulo this: chunks of three lines on average.
 DIVISOR = 3
@@ -56,10 +56,9 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, id_col: str = "doc_id")
     ones have one line; a document may lose all lines and then has an empty text. No rows: an empty result. The three
     added columns replace columns of the same names.
     """
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines", "n_removed_chunks")]
-    base = docs.select(*own)
-    own_key = row_key(F.col(id_col), F.col("text"))
-    keyed = base.select(own_key.alias("key"), F.col(id_col).alias("id"), "text").where(F.col("text").isNotNull() & F.contains("text", F.lit("\n")))
+    docs = docs.drop("n_lines", "n_removed_lines", "n_removed_chunks")
+    base = docs.select(packed_row(docs).alias("row"), row_key(F.col(id_col), F.col("text")).alias("key"), F.col(id_col).alias("id"), "text")
+    keyed = base.select("key", "id", "text").where(F.col("text").isNotNull() & F.contains("text", F.lit("\n")))
     cut = keyed.select("key", F.posexplode(_chunks(F.col("text"), divisor)).alias("place", "chunk"))
     digests = cut.where(_long(F.col("chunk"))).select("key", "place", F.md5(F.array_join("chunk", "\n")).alias("digest"))
     digests = materialize(digests, "line-digests")
@@ -79,7 +78,7 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, id_col: str = "doc_id")
         (F.col("chunk") == F.col("same")) & ((F.col("first.key") != F.col("key")) | (F.col("first.place") != F.col("place")))
     )
     removal = materialize(again.groupBy(F.col("key").alias("removal_key")).agg(F.collect_set("place").alias("removed_places")), "line-removals")
-    joined = base.join(removal, own_key == F.col("removal_key"), "left")
+    joined = base.join(removal, F.col("key") == F.col("removal_key"), "left")
     chunks = _chunks(F.col("text"), divisor)
     gone = F.col("removed_places")
     kept = F.filter(F.transform(chunks, lambda c, i: F.when(~F.array_contains(gone, i), c)), lambda c: c.isNotNull())
@@ -91,7 +90,7 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, id_col: str = "doc_id")
     })
     lines_lost = F.aggregate("lost_lines", F.lit(0), lambda a, x: a + x)
     return counted.select(
-        *[F.col("kept_text").alias("text") if c == "text" else F.col(c) for c in own], "n_lines",
+        *unpacked(docs, text=F.col("kept_text")), "n_lines",
         F.coalesce(lines_lost, F.lit(0)).cast("bigint").alias("n_removed_lines"),
         F.coalesce(F.size("lost_lines"), F.lit(0)).cast("bigint").alias("n_removed_chunks"),
     )

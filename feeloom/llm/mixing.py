@@ -53,15 +53,16 @@ def source_targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, max_epo
 def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "mix") -> DataFrame:
     """Per row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, taken.
 
-    Every source is put into a random order (md5 of seed and doc_id), summed up by distributed prefix sums, and cut
+    Every source is put into a random order (md5 of seed, doc_id and text), summed up by distributed prefix sums, and cut
     exactly at its budget, the rounded target. A budget beyond the source repeats it in whole epochs first; the row
-    at the cut gives only its first words. Null texts have size 0; a null source is a source, last in order; rows with
-    one doc_id stand next to each other. No rows: an empty result. Columns beside the three are ignored.
+    at the cut gives only its first words. Null texts have size 0; a null source is a source, last in order; equal rows
+    stand next to each other. No rows: an empty result. Columns beside the three are ignored.
     """
     sized = docs.select(
         "doc_id", "source", *_source_key("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
+        # The text tells apart rows without an id, or of one id, which would else meet in one range.
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce("text", F.lit(""))))).alias("key"),
     )
     # Written first: the range sort reads its input twice, and needs no texts.
     sized = materialize(sized, "mix-sizes")

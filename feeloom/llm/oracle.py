@@ -38,7 +38,7 @@ ORACLE_SQL = {
         WITH sized AS (
             SELECT doc_id, source, source IS NULL AS no_source, coalesce(source, '') AS name,
                    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS HUGEINT) AS size,
-                   md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+                   md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key
             FROM documents
         ), sources AS (
             SELECT no_source, name, sum(size) AS total FROM sized GROUP BY ALL

@@ -23,14 +23,14 @@ BLOCK_QUERIES = 1024
 def usable_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, v (array<double>): without rows whose id or vector is null, zero, or holds null or non-finite parts.
 
-    Rows of one id count as one vector, the smallest.
+    Rows of one id are vectors of their own.
     """
     v = F.col(vector_col).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     )
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
@@ -87,10 +87,10 @@ def nearest_neighbours(
     vectors: DataFrame, queries: DataFrame, k: int = 20, n_pivots: int = PIVOTS, prefix_share: float = PREFIX_SHARE,
     rerank_share: float = RERANK_SHARE, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
-    """For each query (vec_id, v) its ``k`` nearest of ``vectors`` (vec_id, v): query_id, rank, vec_id, score.
+    """For each query (row, vec_id, v) its ``k`` nearest of ``vectors`` (row, vec_id, v): query_id, rank, vec_id, score.
 
-    Nearness is the inner product in double precision; ties go to the smaller vec_id; a row is no neighbour of its own
-    id. Vectors of fewer components count as padded with zeros. Each vector is represented by its nearest pivots in
+    ``row`` tells rows apart, also those of one vec_id; ``numbered_rows`` adds it. Nearness is the inner product in
+    double precision; ties go to the smaller vec_id; a row is no neighbour of itself. Vectors of fewer components count as padded with zeros. Each vector is represented by its nearest pivots in
     order; blocks of rows hold pivot inverted files; a query accumulates footrule distances over the files of its own
     pivots and reranks the nearest share of each block exactly. A block gives at least k rows if it has them, so no
     query comes back short. Every pair of a row block and a query block is one bounded task. No rows: an empty result.
@@ -100,7 +100,7 @@ def nearest_neighbours(
         F.count("*").alias("rows"), F.max(F.size("v")).alias("width"),
         F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("square"),
     ).first()
-    schema = "query_id bigint, vec_id bigint, score double"
+    schema = "query bigint, query_id bigint, row bigint, vec_id bigint, score double"
     if not facts["rows"]:
         return spark.createDataFrame([], schema).selectExpr("query_id", "cast(1 as int) as rank", "vec_id", "score")
     width, longest = facts["width"], float(np.sqrt(facts["square"]))
@@ -116,31 +116,40 @@ def nearest_neighbours(
     def numbers(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    part = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
-    left = vectors.select("vec_id", "v", part(row_blocks, 1).alias("row_block"), numbers(query_blocks).alias("query_block"))
-    right = queries.select("vec_id", "v", part(query_blocks, 2).alias("query_block"), numbers(row_blocks).alias("row_block"))
+    part = lambda n, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(n)).cast("int")
+    left = vectors.select("row", "vec_id", "v", part(row_blocks, 1).alias("row_block"), numbers(query_blocks).alias("query_block"))
+    right = queries.select("row", "vec_id", "v", part(query_blocks, 2).alias("query_block"), numbers(row_blocks).alias("row_block"))
 
     def search(key: tuple, block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(block) and len(asked):
-            block = block.sort_values("vec_id")
-            ids = block["vec_id"].to_numpy()
+            block = block.sort_values(["vec_id", "row"])
+            ids, rows = block["vec_id"].to_numpy(), block["row"].to_numpy()
             index = InvertedFiles(_matrix(block["v"], width), pivots, prefix, longest)
-            for name, q in zip(asked["vec_id"], _matrix(asked["v"], width), strict=True):
-                found, scores = index.nearest(q, ids == name, ids, k, rerank_share)
-                out.append((np.full(len(found), name), ids[found], scores))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.empty(0)] * 3
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+            for own, name, q in zip(asked["row"], asked["vec_id"], _matrix(asked["v"], width), strict=True):
+                found, scores = index.nearest(q, rows == own, ids, k, rerank_share)
+                out.append((np.full(len(found), own), np.full(len(found), name), rows[found], ids[found], scores))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.empty(0)] * 5
+        return pd.DataFrame(dict(zip(("query", "query_id", "row", "vec_id", "score"), columns, strict=True)))
 
     keys = ("row_block", "query_block")
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, schema)
     # The limit is applied before the exchange too (WindowGroupLimit).
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def numbered_rows(vectors: DataFrame) -> DataFrame:
+    """``vectors`` with ``row``, a number for each row, written so that it is drawn once."""
+    return materialize(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+
+
 def search_by_modulus(vectors: DataFrame, modulus: int = 20, k: int = 20) -> DataFrame:
-    """nearest_neighbours() with the rows whose vec_id is divisible by ``modulus`` as queries, against all rows."""
-    usable = materialize(usable_vectors(vectors), "vectors")
+    """nearest_neighbours() with the rows whose vec_id is divisible by ``modulus`` as queries, against all rows.
+
+    Rows whose id or vector is null, or whose vector is zero or has null or non-finite parts, take no part. Rows of one
+    vec_id are queries and candidates of their own, each with its own ranks. Other columns are ignored.
+    """
+    usable = numbered_rows(usable_vectors(vectors))
     return nearest_neighbours(usable, usable.where(F.col("vec_id") % modulus == 0), k)

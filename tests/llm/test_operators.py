@@ -497,3 +497,17 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(links).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_rows_of_one_vec_id_are_vectors_of_their_own(spark):
+    rows = spark.createDataFrame([(1, [2.0, 0.0]), (1, [9.0, 0.0]), (20, [1.0, 0.0]), (20, [0.0, 1.0]), (5, [0.0, 3.0])], "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in permutation_index.search_by_modulus(rows).collect())
+    assert got == [
+        (20, 1, 1, 9.0), (20, 1, 5, 3.0), (20, 2, 1, 0.0), (20, 2, 1, 2.0), (20, 3, 1, 0.0), (20, 3, 5, 0.0), (20, 4, 20, 0.0), (20, 4, 20, 0.0),
+    ]
+
+
+def test_rows_without_an_id_are_spread_over_the_ranges_of_a_mix(spark):
+    docs = documents(spark, [(None, f"text {i}", "a") for i in range(300)] + [(7, f"other {i}", "a") for i in range(300)])
+    got = mixing.mix_sources(docs).toPandas()
+    assert len(got) == 600 and (got["taken"] <= 3 * got["size"]).all() and got["taken"].sum() == got["target"].iloc[0] == got["size"].sum()

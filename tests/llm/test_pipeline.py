@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from feeloom.llm import decontamination, jaccard_join, line_dedup, toxicity
 
@@ -55,3 +57,26 @@ def test_rows_without_an_id_and_texts_of_one_id_are_judged(spark):
     bench = spark.createDataFrame([(1, " ".join(f"a{i}" for i in range(20)))], "item_id long, text string")
     clean = decontamination.drop_contaminated(docs, bench).collect()
     assert sorted((r["doc_id"] or 9, r["text"]) for r in clean) == [(2, words[1]), (9, ""), (9, ""), (9, "c d e f g h"), (9, "c d e f g h")]
+
+
+# Names that the operators use for columns of their own.
+INSIDE = [
+    "row", "key", "row_key", "id", "n_lines", "n_removed_lines", "n_removed_chunks", "removed_places", "removal_key", "kept_text", "lost_lines", "chunk", "chunks",
+    "place", "places", "digest", "same", "first", "drop_key", "nth_copy", "no_id", "component_id", "n_shingles", "bad_key", "rep", "component", "block",
+    "size", "source_name", "ahead", "score", "predicted", "item_id", "distance", "a", "b", "n", "rid", "tid", "words",
+]
+
+
+def test_any_column_name_passes_the_stages(spark):
+    lines = "\n".join(f"shared line {i}" for i in range(40))
+    texts = [(1, lines, "a"), (2, "own line\n" + lines, "a"), (3, " ".join(f"a{i}" for i in range(60)), None), (4, " ".join(f"a{i}" for i in range(60)) + " x", "b"),
+             (None, None, "b"), (None, "c d e f g h", "b"), (None, "c d e f g h", "b")]
+    plain = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    crowded = plain.select("*", *[F.concat(F.lit(f"{name}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(name) for name in INSIDE])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        want, got = stage(spark, plain, SF), stage(spark, crowded, SF)
+        assert got.columns == crowded.columns, name
+        rows = got.collect()
+        assert sorted(map(repr, want.collect())) == sorted(repr(r) for r in got.select(*plain.columns).collect()), name
+        assert all(r[c] == f"{c}:{r['doc_id'] if r['doc_id'] is not None else 'none'}" for r in rows for c in INSIDE), name
+    assert corpus_pipeline.STAGES[-1][1](spark, crowded, SF).count() == len(texts)
