@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeloom.llm import decontamination, jaccard_join, line_dedup, mixing, toxicity
-from feeloom.llm.common import materialize, read_table
+from feeloom.llm.common import materialize, packed_row, read_table, unpacked
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,8 +17,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the multi-line chunks that occurred before; n_chars follows the text."""
-    cut = line_dedup.dedup_lines(docs)
-    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    cut = line_dedup.dedup_lines(docs.select("doc_id", "text", packed_row(docs).alias("row")))
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return cut.select(*unpacked(docs, **{c: v for c, v in changed.items() if c in docs.columns}))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
