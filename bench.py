@@ -64,7 +64,7 @@ def main() -> None:
         "tables_adviser_ltv": lambda: consume(reports.adviser_ltv(dimension, ltv)),
         "tables_time_weighted": lambda: consume(attribution.time_weighted_ltv(fees, ltv)),
         "tables_checks": lambda: consume(checks.run_checks(store.tables(spark, stg_fees=fees))),
-        "tables_slice": lambda: consume(staging.stage_fees(store.read(spark, "fees"), None)),
+        "tables_slice": lambda: consume(staging.stage_fees(store.read(spark, "fees"), store.newest_date(spark, "stg_fees"))),
     }
     for name, action in over_tables.items():
         timings[name] = seconds(action)
