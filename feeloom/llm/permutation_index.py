@@ -23,14 +23,14 @@ BLOCK_QUERIES = 1024
 def usable_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, v (array<double>): without rows whose id or vector is null, zero, or holds null or non-finite parts.
 
-    Rows of one id are vectors of their own.
+    Different vectors of one id are rows of their own; rows that repeat an id and its vector count once.
     """
     v = F.col(vector_col).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     )
-    return rows
+    return rows.distinct()
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
@@ -141,15 +141,16 @@ def nearest_neighbours(
 
 
 def numbered_rows(vectors: DataFrame) -> DataFrame:
-    """``vectors`` with ``row``, a number for each row, written so that it is drawn once."""
-    return materialize(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    """``vectors`` (vec_id, v) with ``row``, a 64-bit hash of both that tells rows apart at any layout of the input."""
+    return materialize(vectors.withColumn("row", F.xxhash64("vec_id", "v")), "vectors")
 
 
 def search_by_modulus(vectors: DataFrame, modulus: int = 20, k: int = 20) -> DataFrame:
     """nearest_neighbours() with the rows whose vec_id is divisible by ``modulus`` as queries, against all rows.
 
-    Rows whose id or vector is null, or whose vector is zero or has null or non-finite parts, take no part. Rows of one
-    vec_id are queries and candidates of their own, each with its own ranks. Other columns are ignored.
+    Rows whose id or vector is null, or whose vector is zero or has null or non-finite parts, take no part. Different
+    vectors of one vec_id are queries and candidates of their own, each with its own ranks; a row that repeats an id and its
+    vector counts once. Other columns are ignored.
     """
     usable = numbered_rows(usable_vectors(vectors))
     return nearest_neighbours(usable, usable.where(F.col("vec_id") % modulus == 0), k)
