@@ -344,6 +344,44 @@ def test_reaches_against_edit_distance():
             assert max(far[: e + 1].sum(axis=1)) == max(ends, default=0)
 
 
+def test_codes_rule_out_no_passage():
+    rng = np.random.default_rng(16)
+    for min_words in (50, 20, 60):
+        margin = min_words + chaining.MARGIN
+        seen, most = min(margin, chaining.SEEN), int(0.2 * margin) + 1
+        pairs, found = [], []
+        for k in range(300):
+            a = rng.integers(0, 30 if k % 3 else 3000, int(rng.integers(8, 200)))
+            x = int(rng.integers(0, len(a) - 5))
+            b, y = list(a), x
+            for _ in range(int(rng.integers(0, 40))):
+                at = int(rng.integers(0, len(b)))
+                if y <= at < y + 5:
+                    continue
+                new = [[], [5000], [b[at], 6000]][int(rng.integers(0, 3))]
+                y += (len(new) - 1) * (at < y)
+                b[at : at + 1] = new
+            if k % 4 == 0:  # nothing but the seed is shared
+                b = [*rng.integers(0, 3000, 60), *a[x : x + 5], *rng.integers(0, 3000, 60)]
+                y = 60
+            pairs.append((a, x, np.array(b), y))
+        tails = [((a[:x][::-1], b[:y][::-1]), (a[x + 5 :], b[y + 5 :])) for a, x, b, y in pairs]
+        found = chaining.grown([(x, x + 5, y, y + 5, 0, *t) for (_, x, _, y), t in zip(pairs, tails, strict=True)], min_words, 0.8)
+        sides = []
+        for words, places, wide in (([p[0] for p in pairs], [p[1] for p in pairs], seen), ([p[2] for p in pairs], [p[3] for p in pairs], seen + most)):
+            packed = []
+            for w, at in zip(words, places, strict=True):
+                begin = max(at - wide, 0) // 2 * 2
+                codes = np.append(w % 16, 0)[: len(w) + len(w) % 2].astype(np.uint8)
+                packed.append((codes[::2] << 4 | codes[1::2])[begin // 2 : begin // 2 + wide + 4].tobytes())
+            sides.append(chaining.codes_beside(np.array(places), pa.array(packed, pa.binary()), np.array([len(w) for w in words]), wide))
+        may = chaining.may_hold_passage(*sides, min_words, 0.8)
+        assert all(m for m, f in zip(may, found, strict=True) if f)
+        assert sum(f is not None for f in found) > 50
+        if min_words == 50:
+            assert not may[::12].all()
+
+
 def test_equal_passages_of_hot_lines(spark):
     rng = random.Random(9)
     lines = [" ".join(f"w{rng.randrange(50_000)}" for _ in range(12)) for _ in range(25)]
