@@ -374,8 +374,8 @@ def test_codes_rule_out_no_passage():
                 begin = max(at - wide, 0) // 2 * 2
                 codes = np.append(w % 16, 0)[: len(w) + len(w) % 2].astype(np.uint8)
                 packed.append((codes[::2] << 4 | codes[1::2])[begin // 2 : begin // 2 + wide + 4].tobytes())
-            sides.append(chaining.codes_beside(np.array(places), pa.array(packed, pa.binary()), np.array([len(w) for w in words]), wide))
-        may = chaining.may_hold_passage(*sides, min_words, 0.8)
+            sides.append(chaining.codes_beside(np.array(places), np.full(len(places), 5), pa.array(packed, pa.binary()), np.array([len(w) for w in words]), wide))
+        may = chaining.may_hold_passage(*sides, np.full(len(pairs), 5), min_words, 0.8)
         assert all(m for m, f in zip(may, found, strict=True) if f)
         assert sum(f is not None for f in found) > 50
         if min_words == 50:
