@@ -1,9 +1,10 @@
-"""Exact repeats by merging Burrows-Wheeler transforms of shards: the interleave of their suffixes is refined step by
-step, until intervals of suffixes with a common prefix of the wanted length remain.
+"""Exact byte repeats by hash refinement of windows: windows of the wanted length are grouped by their blocks, step by
+step, until only groups of equal windows remain.
 
-Two things keep the work small. Only suffixes that can repeat are merged: every window of the wanted length owns the
-smallest seed hash in it (a minimizer), so equal windows have equal seeds, and seeds that occur once rule theirs out.
-And the transforms are taken in steps of several bytes at a time, so a symbol is a block and few rounds suffice.
+This stands in for merged Burrows-Wheeler transforms, of which none is built here; the README says why. Two things keep
+the work small. Only windows that can repeat are grouped: every window owns the smallest seed hash in it (a minimizer),
+so equal windows have equal seeds, and seeds that occur once rule theirs out. And a step takes a block of several bytes,
+so few rounds suffice.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ SEED = 32
 # Bytes of one step of the refinement; the last step takes what is left.
 STEP = 80
 PIECE_BYTES = 1 << 20
-# Suffixes of more contexts of one seed than this are merged in several tasks, and their intervals then joined.
+# Windows of more contexts of one seed than this are grouped in several tasks, and the open ones then joined.
 GROUP_CONTEXTS = 2048
 
 
@@ -121,12 +122,11 @@ def _seeds(texts: DataFrame, length: int, seed: int) -> DataFrame:
     return texts.mapInArrow(run, f"key bigint, doc_id {kind}, tid bigint, lo bigint, hi bigint")
 
 
-def merge_transforms(symbols: list[np.ndarray]) -> np.ndarray:
-    """Places (in the order given) of the suffixes that share all their symbols with another one.
+def equal_windows(symbols: list[np.ndarray]) -> np.ndarray:
+    """Places of the windows that share all their symbols with another one.
 
-    symbols[d][i] is the d-th block of suffix i. The interleave starts as one interval with the suffixes of one shard
-    after those of the other. Round d refines every interval by the d-th symbol; suffixes alone in their interval have
-    their longest common prefix, d blocks, and leave. Nothing is compared twice, and shards need no common sort.
+    symbols[d][i] is the hash of the d-th block of window i. All windows begin as one group. Round d splits every group
+    by the d-th symbol; windows alone in their group leave.
     """
     z = np.arange(len(symbols[0]))
     interval = np.zeros(len(z), np.uint64)
@@ -149,7 +149,7 @@ def _intervals(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def _merge_contexts(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
+def _group_contexts(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     """Repeated spans of contexts (doc_id, tid, lo, salts, context), and the windows left open where a seed was salted."""
     contexts = rows.column("context").combine_chunks().cast(pa.large_binary())
     _, offsets, data = contexts.buffers()
@@ -168,7 +168,7 @@ def _merge_contexts(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
         symbols.append(hashes[s][start + at])
         at += s
     repeated = np.zeros(len(start), bool)
-    repeated[merge_transforms(symbols)] = True
+    repeated[equal_windows(symbols)] = True
     lo = rows.column("lo").to_numpy()
     salts = rows.column("salts").to_numpy()
     names = ["doc_id", "tid", "a", "b", "w1", "w2"]
@@ -242,12 +242,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
                     if stays < len(key):
                         if stays:
                             held.append(part.slice(0, stays))
-                        yield from _merge_contexts(pa.Table.from_batches(held), length)
+                        yield from _group_contexts(pa.Table.from_batches(held), length)
                         held, size, part = [], 0, part.slice(stays)
                 held.append(part)
                 size += part.column("context").nbytes if part.num_rows else 0
         if held:
-            yield from _merge_contexts(pa.Table.from_batches(held), length)
+            yield from _group_contexts(pa.Table.from_batches(held), length)
 
     dealt = contexts.repartition(shuffle_partitions(spark), "key", "salt").sortWithinPartitions("key", "salt")
     found = materialize(dealt.mapInArrow(run, f"doc_id {kind}, tid bigint, a bigint, b bigint, w1 bigint, w2 bigint"), "repeat-spans")
