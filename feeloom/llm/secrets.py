@@ -25,6 +25,42 @@ MIN_MEAN_RATIO = 0.6
 # Different characters in a part of a run; 16 random hexadecimal digits have fewer about once in 30,000.
 MIN_DISTINCT = 6
 WIDTH = len(ALPHABET)
+# Arrays are passed over in blocks of so many elements.
+BLOCK = 256
+
+
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _emitted(items: Column, first: Column, step, emit, kind: str) -> Column:
+    """What ``emit(state, item)`` gives (null: nothing) over ``items`` from left to right, of type ``kind``.
+
+    ``step(state, item)`` is the state after an item, ``first`` the one before all. An aggregate copies its state at every
+    step, so a list that grows in it would cost the square of its length: one pass takes the state before each
+    block of items, and a second one emits block by block.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def collect(acc: Column, x: Column) -> Column:
+        out = _once(emit(acc["state"], x), lambda e: F.when(e.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(e))))
+        return F.struct(step(acc["state"], x).alias("state"), out.alias("out"))
+
+    def passed(own: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(own) / BLOCK).cast("int") - 1, F.lit(0))
+        block = lambda b: F.slice(own, b * BLOCK + 1, F.lit(BLOCK))
+        begin = F.struct(first.alias("state"), F.array(first).alias("all"))
+        states = F.aggregate(
+            F.slice(F.sequence(F.lit(0), last), F.lit(1), last), begin,
+            lambda acc, b: _once(F.aggregate(block(b), acc["state"], step), lambda s: F.struct(s.alias("state"), F.concat(acc["all"], F.array(s)).alias("all"))),
+            lambda acc: acc["all"],
+        )
+        return F.flatten(F.transform(states, lambda state, b: F.aggregate(
+            block(b), F.struct(state.alias("state"), none.alias("out")), collect, lambda acc: acc["out"]
+        )))
+
+    return _once(items, passed)
 
 
 def _matches(text: Column, pattern: str, gate: str, value_group: bool = False) -> Column:
@@ -36,16 +72,14 @@ def _matches(text: Column, pattern: str, gate: str, value_group: bool = False) -
     search = f"(?s)(.*?)({pattern}|\\z)"
     part = [F.regexp_extract_all(text, F.lit(search), F.lit(i)) for i in ((1, 2, 3) if value_group else (1, 2, 2))]
     rows = F.arrays_zip(part[0].alias("gap"), part[1].alias("hit"), part[2].alias("value"))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
-    def step(state: Column, row: Column) -> Column:
-        start = state["at"] + F.length(row["gap"])
-        end = start + F.length(row["hit"])
-        found = F.array(F.struct(start.alias("start"), end.alias("end"), row["value"].alias("value")))
-        return F.struct(end.alias("at"), F.when(row["hit"] != "", F.concat(state["found"], found)).otherwise(state["found"]).alias("found"))
+    def found(at: Column, row: Column) -> Column:
+        start = at + F.length(row["gap"])
+        return F.when(row["hit"] != "", F.struct(start.alias("start"), (start + F.length(row["hit"])).alias("end"), row["value"].alias("value")))
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    return F.when(F.regexp_like(text, F.lit(gate)), F.aggregate(rows, start, step, lambda state: state["found"]))
+    step = lambda at, row: at + F.length(row["gap"]) + F.length(row["hit"])
+    kind = "struct<start:int,end:int,value:string>"
+    return F.when(F.regexp_like(text, F.lit(gate)), _emitted(rows, F.lit(0), step, found, kind))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -63,11 +97,11 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 def _steps(run: Column) -> Column:
     """Numbers of the transitions between neighbouring characters of a run."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(run) - 1),
-        lambda i: F.instr(F.lit(ALPHABET), F.substring(run, i, F.lit(1))).cast("int") * WIDTH
-        + F.instr(F.lit(ALPHABET), F.substring(run, i + 1, F.lit(1))).cast("int") - WIDTH - 1,
-    )
+    # The characters are split once: a substring would walk from the start of the run for each of them.
+    codes = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    return _once(codes, lambda own: F.transform(
+        F.slice(own, F.lit(2), F.greatest(F.size(own) - 1, F.lit(0))), lambda code, i: F.get(own, i) * WIDTH + code
+    ))
 
 
 def labelled_samples(spark: SparkSession, docs: DataFrame, sample_docs: int = SAMPLE_DOCS, strings: int = SAMPLE_STRINGS) -> DataFrame:
@@ -110,21 +144,23 @@ def train_ratios(samples: DataFrame) -> list[float]:
     return ratios
 
 
-def _stretches(run: Column, scores: Column, bias: float) -> Column:
+def _stretches(scores: Column, bias: float) -> Column:
     """Stretches (start, end, within the run) with the largest sums of ``scores`` less ``bias``, from left to right.
 
     A stretch is closed where its sum falls to 0 or by more than MIN_RATIO below its largest, and cut at the largest.
     """
-    none = F.array().cast("array<struct<start:int,end:int,total:double>>")
     zero = F.lit(0.0)
 
-    def stretch(state: Column) -> Column:
-        made = F.struct(state["start"].alias("start"), state["end"].alias("end"), state["best"].alias("total"))
-        return F.when(state["end"] - state["start"] >= 16, F.concat(state["found"], F.array(made))).otherwise(state["found"])
+    def after(state: Column, score: Column) -> tuple[Column, Column]:
+        total = state["total"] + score - F.lit(bias)
+        return total, (total <= 0) | (total < state["best"] - MIN_RATIO)
+
+    def found(state: Column, score: Column) -> Column:
+        made = F.struct(state["start"].alias("start"), state["end"].alias("end"))
+        return F.when(after(state, score)[1] & (state["end"] - state["start"] >= 16), made)
 
     def step(state: Column, score: Column) -> Column:
-        total = state["total"] + score - F.lit(bias)
-        shut = (total <= 0) | (total < state["best"] - MIN_RATIO)
+        total, shut = after(state, score)
         more = total > state["best"]
         at = state["at"] + 1
         return F.struct(
@@ -133,11 +169,11 @@ def _stretches(run: Column, scores: Column, bias: float) -> Column:
             F.when(shut, at).when(more, at + 1).otherwise(state["end"]).alias("end"),
             F.when(shut, zero).otherwise(total).alias("total"),
             F.when(shut, zero).when(more, total).otherwise(state["best"]).alias("best"),
-            F.when(shut, stretch(state)).otherwise(state["found"]).alias("found"),
         )
 
-    first = F.struct(F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(0).alias("end"), zero.alias("total"), zero.alias("best"), none.alias("found"))
-    return F.aggregate(scores, first, step, stretch)
+    first = F.struct(F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(0).alias("end"), zero.alias("total"), zero.alias("best"))
+    # A last score without bottom closes what is open.
+    return _emitted(F.concat(scores, F.array(F.lit(-1e300))), first, step, found, "struct<start:int,end:int>")
 
 
 def random_runs(text: Column, ratios: list[float], min_ratio: float = MIN_RATIO, min_mean: float = MIN_MEAN_RATIO, base: Column | None = None) -> Column:
@@ -148,62 +184,80 @@ def random_runs(text: Column, ratios: list[float], min_ratio: float = MIN_RATIO,
     MIN_DISTINCT different characters: one character repeated is rare in ordinary text, but not random.
     """
     table = F.array(*[F.lit(float(r)) for r in ratios])
-    runs = _matches(text, RUN, RUN)
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    runs = F.flatten(F.transform(runs, lambda r: _without(r, none if base is None else base)))
-    once = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
+    runs = _outside(_matches(text, RUN, RUN), none if base is None else base)
 
     def passing(run: Column, scores: Column, found: Column) -> Column:
         def good(f: Column) -> Column:
             total = F.aggregate(F.slice(scores, f["start"] + 1, f["end"] - f["start"] - 1), F.lit(0.0), lambda a, s: a + s)
-            value = F.substring(run["value"], f["start"] + 1, f["end"] - f["start"])
-            part = run["cut"] | (f["end"] - f["start"] < F.length(run["value"]))
+            value = _part(run["bytes"], f["start"], f["end"])
+            part = run["cut"] | (f["end"] - f["start"] < run["end"] - run["start"])
             varied = ~part | (F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT)
             return varied & (total >= F.greatest(F.lit(min_ratio), F.lit(min_mean) * (f["end"] - f["start"]))) & F.regexp_like(value, F.lit("[A-Za-z]"))
 
         return F.transform(F.filter(found, good), lambda f: F.struct(
             (run["start"] + f["start"]).alias("start"), (run["start"] + f["end"]).alias("end"),
-            F.substring(run["value"], f["start"] + 1, f["end"] - f["start"]).alias("value"),
+            _part(run["bytes"], f["start"], f["end"]).alias("value"),
         ))
 
     def judged(run: Column) -> Column:
         def parts(scores: Column) -> Column:
-            whole = F.array(F.struct(F.lit(0).alias("start"), F.length(run["value"]).alias("end"), F.lit(0.0).alias("total")))
-            tries = [whole, _stretches(run["value"], scores, 0.0), _stretches(run["value"], scores, min_mean)]
+            whole = F.array(F.struct(F.lit(0).alias("start"), (run["end"] - run["start"]).alias("end")))
+            tries = [whole, _stretches(scores, 0.0), _stretches(scores, min_mean)]
             first, second, third = (passing(run, scores, t) for t in tries)
-            some = lambda a, b: once(a, lambda x: F.when(F.size(x) > 0, x).otherwise(b))
+            some = lambda a, b: _once(a, lambda x: F.when(F.size(x) > 0, x).otherwise(b))
             return some(first, some(second, third))
 
-        return once(F.transform(_steps(run["value"]), lambda s: F.get(table, s)), parts)
+        return _once(F.transform(_steps(run["bytes"].cast("string")), lambda s: F.get(table, s)), parts)
 
-    lettered = F.filter(runs, lambda m: F.regexp_like(m["value"], F.lit("[A-Za-z]")))
+    lettered = F.filter(runs, lambda m: F.regexp_like(m["bytes"].cast("string"), F.lit("[A-Za-z]")))
     return F.flatten(F.transform(lettered, judged))
 
 
-def _without(run: Column, base: Column) -> Column:
-    """The pieces of a run of 16 characters or more outside all base spans, as structs (start, end, value, cut)."""
-    touching = F.array_sort(F.transform(
-        F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])),
-        lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")),
+def _part(run: Column, start: Column, end: Column) -> Column:
+    """Characters of a run, which is ASCII and kept as bytes, so that a part is cut without a walk from its start."""
+    return F.substring(run, start + 1, end - start).cast("string")
+
+
+def _outside(runs: Column, base: Column) -> Column:
+    """The pieces of ``runs`` of 16 characters or more outside all base spans, as structs (start, end, bytes, cut).
+
+    One pass over runs and spans in order of their starts. A run stays open until the next one begins; spans that
+    began before it or inside it move the place from which its next piece is taken.
+    """
+    ranges = F.transform(runs, lambda r: F.struct(
+        r["start"].alias("start"), r["end"].alias("end"), F.lit(True).alias("is_run"), r["value"].cast("binary").alias("bytes")
+    ))
+    spans = F.transform(base, lambda b: F.struct(
+        b["start"].alias("start"), b["end"].alias("end"), F.lit(False).alias("is_run"), F.lit(None).cast("binary").alias("bytes")
+    ))
+    # A last run, beyond any text, closes the one before it.
+    last = F.array(F.struct(
+        F.lit(2**31 - 1).alias("start"), F.lit(2**31 - 1).alias("end"), F.lit(True).alias("is_run"), F.lit(None).cast("binary").alias("bytes")
     ))
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    none = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(False).alias("is_run"), F.lit(None).cast("binary").alias("bytes"))
+
+    def found(state: Column, e: Column) -> Column:
+        run, at = state["run"], state["at"]
+        # A run ends its predecessor; a span ends the piece that it begins in.
+        end = F.when(e["is_run"], run["end"]).otherwise(F.least(e["start"], run["end"]))
+        return F.when(end - at >= 16, F.struct(
+            at.alias("start"), end.alias("end"), F.substring(run["bytes"], at - run["start"] + 1, end - at).alias("bytes"),
+            (end - at < run["end"] - run["start"]).alias("cut"),
+        ))
 
-    def step(state: Column, b: Column) -> Column:
-        piece = F.array(F.struct(state["at"].alias("start"), b["start"].alias("end")))
+    def step(state: Column, e: Column) -> Column:
+        covered = F.greatest(state["covered"], F.when(~e["is_run"], e["end"]).otherwise(F.lit(0)))
         return F.struct(
-            F.greatest(state["at"], b["end"]).alias("at"),
-            F.when(b["start"] - state["at"] >= 16, F.concat(state["found"], piece)).otherwise(state["found"]).alias("found"),
+            F.when(e["is_run"], e).otherwise(state["run"]).alias("run"),
+            F.when(e["is_run"], F.greatest(e["start"], covered)).otherwise(F.greatest(state["at"], e["end"])).alias("at"),
+            covered.alias("covered"),
         )
 
-    start = F.struct(run["start"].alias("at"), none.alias("found"))
-    last = lambda s: F.when(
-        run["end"] - s["at"] >= 16, F.concat(s["found"], F.array(F.struct(s["at"].alias("start"), run["end"].alias("end"))))
-    ).otherwise(s["found"])
-    return F.transform(F.aggregate(touching, start, step, last), lambda p: F.struct(
-        p["start"].alias("start"), p["end"].alias("end"),
-        F.substring(run["value"], p["start"] - run["start"] + 1, p["end"] - p["start"]).alias("value"),
-        (p["end"] - p["start"] < run["end"] - run["start"]).alias("cut"),
-    ))
+    first = F.struct(none.alias("run"), F.lit(0).alias("at"), F.lit(0).alias("covered"))
+    events = F.concat(F.array_sort(F.concat(ranges, spans)), last)
+    kind = "struct<start:int,end:int,bytes:binary,cut:boolean>"
+    return F.when(F.size(runs) > 0, _emitted(events, first, step, found, kind))
 
 
 def _written(kinds: dict[str, str]) -> Column:
@@ -221,7 +275,9 @@ def scan_secrets(docs: DataFrame, ratios: list[float] | None = None) -> DataFram
     """Per row of ``docs`` (doc_id, text): doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random, text.
 
     Base kinds are assign, access and hex; the models add kind random for stretches of runs outside all base spans. Null texts
-    count as empty: no spans, the digest of nothing. No rows: an empty result. Other columns are ignored.
+    count as empty: no spans, the digest of nothing. Work is in proportion to a text's length, however many matches it
+    has or however long a run is. Rows that repeat an id or a text are judged each on its own. No rows: an empty
+    result. Other columns are ignored.
     """
     if ratios is None:
         ratios = train_ratios(labelled_samples(docs.sparkSession, docs))
