@@ -22,6 +22,8 @@ SAMPLES = 6
 PLACES = 2
 # Items go to the executors in sets of at most so many bytes of text; more items take more passes.
 ITEM_BYTES = 8 << 20
+# Windows that are looked up at a time.
+WINDOWS = 2048
 GRAMS = (3, 2, 1)
 # Lower case, and ASCII punctuation and white space as blanks.
 FOLD = np.array([c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256)], np.uint8)
@@ -35,38 +37,41 @@ def _grams(words: np.ndarray, size: int) -> np.ndarray:
     return mix64(total + np.uint64(size))
 
 
-def cgk(sequences: np.ndarray, lengths: np.ndarray, walk: int, steps: int) -> np.ndarray:
-    """CGK random walk over each row: the word under the pointer at every step, 0 beyond the end.
+def cgk(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, walk: int, places: np.ndarray) -> np.ndarray:
+    """CGK random walk over windows of ``words``: the word under the pointer at each of ``places`` (steps, ascending), 0 beyond the end.
 
-    The pointer moves on by a random bit of (walk, step, word), the same for equal words, so rows that differ by few
-    edits fall into step again: edit distance becomes Hamming distance.
+    The pointer moves on by a random bit of (walk, step, word), the same for equal words, so windows that differ by few
+    edits fall into step again: edit distance becomes Hamming distance. Only the places asked for are kept, so memory
+    does not grow with the length of a window.
     """
-    n = len(sequences)
-    out = np.zeros((n, steps), np.uint64)
-    at = np.zeros(n, np.int64)
-    rows = np.arange(n)
-    for step in range(steps):
+    out = np.zeros((len(starts), len(places)), np.uint64)
+    at = np.zeros(len(starts), np.int64)
+    wanted = 0
+    for step in range(int(places[-1]) + 1):
         inside = at < lengths
-        word = np.where(inside, sequences[rows, np.minimum(at, sequences.shape[1] - 1)], np.uint64(0))
-        out[:, step] = word
+        word = np.where(inside, words[np.minimum(starts + at, len(words) - 1)], np.uint64(0))
+        while wanted < len(places) and places[wanted] == step:
+            out[:, wanted] = word
+            wanted += 1
         seed = np.uint64((walk * 1_000_003 + step * 7919 + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
         at += inside & ((mix64(word ^ seed) & np.uint64(1)) == 1)
     return out
 
 
-def signatures(sequences: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
-    """[row, table]: hashes of sampled places of the embeddings of rows of at most ``size`` words.
+def signatures(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
+    """[window, table]: hashes of sampled places of the embeddings of windows of at most ``size`` words.
 
     Places are drawn from the part of the embedding where the pointer is still inside the words.
     """
     tables = []
     for walk in range(WALKS):
-        embedded = cgk(sequences, lengths, walk, 2 * size)
         rng = np.random.default_rng(1000 * walk + size)
-        for sample in range(SAMPLES):
-            places = rng.choice(max(1, 2 * size * 3 // 4), size=PLACES, replace=True)
-            value = np.full(len(sequences), np.uint64(walk * SAMPLES + sample + 1))
-            for p in places:
+        samples = [rng.choice(max(1, 2 * size * 3 // 4), size=PLACES, replace=True) for _ in range(SAMPLES)]
+        places = np.unique(np.concatenate(samples))
+        embedded = cgk(words, starts, lengths, walk, places)
+        for sample, own in enumerate(samples):
+            value = np.full(len(starts), np.uint64(walk * SAMPLES + sample + 1))
+            for p in np.searchsorted(places, own):
                 value = mix64(value * np.uint64(0x9E3779B97F4A7C15) + embedded[:, p])
             tables.append(value)
     return np.column_stack(tables)
@@ -88,6 +93,14 @@ def fitting_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int
     return int(state[end] // unit), int(state[end] % unit), end
 
 
+def _reached(hits: np.ndarray, before: int, after: int, n: int) -> np.ndarray:
+    """Places of 0 to ``n`` - 1 that lie at most ``before`` ahead of one of the ascending ``hits``, or ``after`` behind it."""
+    apart = np.flatnonzero(np.diff(hits) > before + after) + 1
+    low = np.maximum(hits[np.append(0, apart)] - before, 0)
+    count = np.minimum(hits[np.append(apart - 1, len(hits) - 1)] + after + 1, n) - low
+    return np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)
+
+
 @dataclass
 class Item:
     item_id: int
@@ -127,7 +140,7 @@ class ItemSet:
         by_size = {}
         for size in sorted({len(i.words) for i in items}):
             own = np.array([k for k, i in enumerate(items) if len(i.words) == size])
-            table = signatures(np.stack([items[k].words for k in own]), np.full(len(own), size), size)
+            table = signatures(np.concatenate([items[k].words for k in own]), size * np.arange(len(own)), np.full(len(own), size), size)
             keys = (table + np.arange(table.shape[1], dtype=np.uint64)).ravel()
             order = np.argsort(keys, kind="stable")
             by_size[size] = (keys[order], np.repeat(own, table.shape[1])[order], items[own[0]])
@@ -154,9 +167,7 @@ class ItemSet:
                 if len(hit) < item.least:
                     continue
                 # Only starts near enough to a hit can reach the count.
-                reach = np.arange(-(int(size) + item.edits), item.edits + 1)
-                starts = np.unique(hit[:, None] + reach[None, :])
-                starts = starts[(starts >= 0) & (starts < len(words))]
+                starts = _reached(hit, int(size) + item.edits, item.edits, len(words))
                 low = np.maximum(starts - item.edits, text_begin[starts])
                 high = np.minimum(starts + int(size) + item.edits, text_end[starts])
                 within = np.searchsorted(hit, high) - np.searchsorted(hit, low)
@@ -169,13 +180,19 @@ class ItemSet:
         text_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
         for size, starts in self.windows(words, firsts):
             keys, numbers, any_item = self.by_size[size]
+            own = np.unique(numbers).tolist()
             edits = any_item.edits
             done: dict[tuple[int, int], int] = {}
-            for at in range(0, len(starts), 2048):
-                part = starts[at : at + 2048]
+            for at in range(0, len(starts), WINDOWS):
+                part = starts[at : at + WINDOWS]
+                # Windows inside stretches that have been aligned with every item of their size need no look-up.
+                texts, inverse = np.unique(text_of[part], return_inverse=True)
+                settled = np.array([min(done.get((t, k), -1) for k in own) for t in texts.tolist()])
+                part = part[part >= settled[inverse]]
+                if len(part) == 0:
+                    continue
                 lengths = np.minimum(size, firsts[text_of[part] + 1] - part)
-                sequences = words[np.minimum(part[:, None] + np.arange(size)[None, :], len(words) - 1)]
-                table = signatures(sequences, lengths, size)
+                table = signatures(words, part, lengths, size)
                 table = table + np.arange(table.shape[1], dtype=np.uint64)
                 low, high = np.searchsorted(keys, table, "left"), np.searchsorted(keys, table, "right")
                 rows, tables = np.nonzero(high > low)
@@ -218,7 +235,8 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, limit: int = ITEM_B
     (insertions, deletions, replacements; letters folded to lower case, punctuation ignored). Windows of the item's
     size are embedded by CGK walks and looked up in bit-sampling LSH tables of the items; exact alignment decides and
     gives the nearest stretch. Windows that share too few word grams with any item of their size to lie within its
-    edits are skipped, which loses none (counting lemma). Null and empty texts and items match nothing; rows of one
+    edits are skipped, which loses none (counting lemma). Items and texts may be of any length: memory grows with the
+    words of a text and of the items of one pass, never with windows times words. Null and empty texts and items match nothing; rows of one
     doc_id or item_id count as one, the nearest match. No rows: an empty result. Other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
