@@ -41,6 +41,7 @@ def stage_fees(
     dedup_on: str = "row",
     scale: int = MONEY_SCALE,
     extra_columns: Sequence[str] = (),
+    lay_out_by: str | None = None,
 ) -> DataFrame:
     """Complete rows, each distinct row once, with its ``fee_id``.
 
@@ -49,7 +50,8 @@ def stage_fees(
     than ``scale`` decimals fails the job.
 
     Copies collapse map-side before the shuffle, however many there are of one row; the key is hashed after
-    it, so its 32 characters are never shuffled here.
+    it, so its 32 characters are never shuffled here. ``lay_out_by`` gathers the values of a column, as the writers do for a
+    table partitioned by it, but ahead of the key: tell the writer that the rows are ``laid_out``.
     """
     fees = drop_incomplete(since_lookback(raw, bound, lookback_days)).select(*FEE_COLUMNS, *extra_columns)
     if dedup_on == "row":
@@ -59,6 +61,8 @@ def stage_fees(
         fees = fees.groupBy(*FEE_KEY).agg(*[F.min(c).alias(c) for c in others])
     else:
         raise ValueError(f"dedup_on must be 'row' or 'key', not {dedup_on!r}")
+    if lay_out_by is not None:
+        fees = fees.hint("rebalance", lay_out_by)
     exact = (to_units(F.col("fee_amount"), scale, strict=True) / F.lit(float(10**scale))).alias("fee_amount")
     return fees.withColumn("fee_amount", exact).select(
         fee_key(scale).alias("fee_id"), *STAGED_COLUMNS[1:], *extra_columns

@@ -118,7 +118,7 @@ def _earlier_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_upsert(spark, sf_dir):
     store = Warehouse(scratch_dir(spark, "upsert"))
-    overwrite_table(staging.stage_fees(_earlier_ledger(spark, sf_dir)), store.path("stg_fees"), ["fee_date"])
+    overwrite_table(staging.stage_fees(_earlier_ledger(spark, sf_dir), lay_out_by="fee_date"), store.path("stg_fees"), ["fee_date"], laid_out=True)
     overwrite_table(fee_ledger(spark, sf_dir, "raw").dropna(subset=["fee_date"]), store.path("fees"), ["fee_date"])
     build_staging(spark, store)
     return store.read(spark, "stg_fees")
@@ -130,7 +130,7 @@ def published_versions(spark, sf_dir):
     Each is read by name; ``held`` was resolved before the upsert was published, and runs after it.
     """
     store = Warehouse(scratch_dir(spark, "versions"), versioned=True)
-    store.write(staging.stage_fees(_earlier_ledger(spark, sf_dir)), "stg_fees", "fee_date")
+    store.write(staging.stage_fees(_earlier_ledger(spark, sf_dir), lay_out_by="fee_date"), "stg_fees", "fee_date", laid_out=True)
     held = spark.table(store.name("stg_fees"))
     store.write(fee_ledger(spark, sf_dir, "raw").dropna(subset=["fee_date"]), "fees", "fee_date")
     build_staging(spark, store)
@@ -155,7 +155,7 @@ def refresh_run_versioned(spark, sf_dir):
 
 def stg_append_columns(spark, sf_dir):
     path = scratch_dir(spark, "append")
-    overwrite_table(staging.stage_fees(_earlier_ledger(spark, sf_dir)), path, ["fee_date"])
+    overwrite_table(staging.stage_fees(_earlier_ledger(spark, sf_dir), lay_out_by="fee_date"), path, ["fee_date"], laid_out=True)
     later = fee_ledger(spark, sf_dir, "raw").withColumn("currency", F.lit("GBP"))
     bound = high_water_mark(read_table(spark, path, STAGED_SCHEMA))
     upsert_by_partition(spark, path, staging.stage_fees(later, bound, extra_columns=["currency"]))
@@ -170,7 +170,7 @@ def stg_clustered(spark, sf_dir):
 
 def backfill_range(spark, sf_dir):
     store = Warehouse(scratch_dir(spark, "backfill"))
-    overwrite_table(staging.stage_fees(_earlier_ledger(spark, sf_dir)), store.path("stg_fees"), ["fee_date"])
+    overwrite_table(staging.stage_fees(_earlier_ledger(spark, sf_dir), lay_out_by="fee_date"), store.path("stg_fees"), ["fee_date"], laid_out=True)
     overwrite_table(fee_ledger(spark, sf_dir, "raw").dropna(subset=["fee_date"]), store.path("fees"), ["fee_date"])
     backfill_staging(spark, store, *BACKFILL)
     return store.read(spark, "stg_fees")
@@ -435,7 +435,7 @@ def landing_freshness(spark, sf_dir):
 def changed_fees(spark, sf_dir):
     """The fees that differ between the first load and the upserted staging table."""
     store = Warehouse(scratch_dir(spark, "changed"), versioned=True)
-    store.write(staging.stage_fees(_earlier_ledger(spark, sf_dir)), "stg_fees", "fee_date")
+    store.write(staging.stage_fees(_earlier_ledger(spark, sf_dir), lay_out_by="fee_date"), "stg_fees", "fee_date", laid_out=True)
     store.write(fee_ledger(spark, sf_dir, "raw").dropna(subset=["fee_date"]), "fees", "fee_date")
     build_staging(spark, store)
     first, second = (read_snapshot(spark, store.path("stg_fees"), snapshot(spark, store.path("stg_fees"), n)) for n in (1, 2))

@@ -78,16 +78,18 @@ class Warehouse:
             return bool(versions.snapshot_numbers(spark, self.path(model)))
         return table_exists(spark, self.path(model))
 
-    def write(self, df: DataFrame, model: str, partition_by: str | None = None, accept: Callable[[DataFrame], None] | None = None) -> None:
-        """Replace a table by ``df``; the old rows stay if the job or ``accept`` fails."""
+    def write(
+        self, df: DataFrame, model: str, partition_by: str | None = None, accept: Callable[[DataFrame], None] | None = None, laid_out: bool = False
+    ) -> None:
+        """Replace a table by ``df``; the old rows stay if the job or ``accept`` fails. ``laid_out``: see ``stage_fees``."""
         spark, cluster_by = df.sparkSession, self.cluster_by if partition_by else ()
         if not self.versioned:
-            overwrite_table(df, self.path(model), [partition_by] if partition_by else [], cluster_by, accept)
+            overwrite_table(df, self.path(model), [partition_by] if partition_by else [], cluster_by, accept, laid_out)
         elif self.drafts is not None:
-            self.drafts[model] = versions.write_version(df, self.path(model), partition_by, cluster_by, accept)
+            self.drafts[model] = versions.write_version(df, self.path(model), partition_by, cluster_by, accept, laid_out)
         else:
             create_database(spark, self, self.LAYERS[model])
-            versions.replace_table(df, self.path(model), partition_by, cluster_by, accept, self.name(model))
+            versions.replace_table(df, self.path(model), partition_by, cluster_by, accept, self.name(model), laid_out)
 
     def upsert(self, spark: SparkSession, model: str, incoming: DataFrame) -> None:
         if self.versioned:
@@ -156,7 +158,7 @@ def build_staging(
     """First run or full refresh: rebuild staging. Otherwise upsert the rows since the lookback bound."""
     raw = store.read(spark, "fees") if raw is None else raw
     if full_refresh or not store.exists(spark, "stg_fees"):
-        store.write(stage_fees(raw), "stg_fees", "fee_date")
+        store.write(stage_fees(raw, lay_out_by="fee_date"), "stg_fees", "fee_date", laid_out=True)
         return
     bound = store.newest_date(spark, "stg_fees")
     store.upsert(spark, "stg_fees", stage_fees(raw, bound, store.lookback_days))

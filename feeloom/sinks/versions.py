@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from feeloom.sinks.tables import _laid_out, _many_writers, _refuse_repeated_keys, align_schema
+from feeloom.sinks.tables import COMPRESSION, _laid_out, _many_writers, _refuse_repeated_keys, align_schema
 from feeloom.sources.files import hadoop_path
 
 MANIFESTS = "_versions"
@@ -96,6 +96,7 @@ def write_version(
     partition_by: str | None = None,
     cluster_by: Sequence[str] = (),
     accept: Callable[[DataFrame], None] | None = None,
+    laid_out: bool = False,
 ) -> Snapshot:
     """Write ``df`` to a new version folder that no reader sees yet; ``accept`` is given the written rows.
 
@@ -105,7 +106,8 @@ def write_version(
     version = f"version=v{uuid.uuid4().hex[:16]}"
     fs, folder = hadoop_path(spark, f"{path}/{version}")
     try:
-        writer = _laid_out(df, keys, cluster_by).write.mode("errorifexists").option("partitionOverwriteMode", "static")
+        writer = _laid_out(df, keys, cluster_by, laid_out).write.mode("errorifexists")
+        writer = writer.option("partitionOverwriteMode", "static").option("compression", COMPRESSION)
         with _many_writers(spark, keys):
             (writer.partitionBy(*keys) if keys else writer).parquet(f"{path}/{version}")
         names = [status.getPath().getName() for status in fs.listStatus(folder)]
@@ -183,10 +185,11 @@ def replace_table(
     cluster_by: Sequence[str] = (),
     accept: Callable[[DataFrame], None] | None = None,
     name: str | None = None,
+    laid_out: bool = False,
 ) -> Snapshot:
     """Publish ``df`` as the whole table. The version before stays readable until it is pruned."""
     before = snapshot(df.sparkSession, path)
-    draft = write_version(df, path, partition_by, cluster_by, accept)
+    draft = write_version(df, path, partition_by, cluster_by, accept, laid_out)
     return _publish_or_discard(df.sparkSession, path, draft, draft, before, name)
 
 
