@@ -9,6 +9,7 @@ from feeloom.operators.staging import stage_fees
 from feeloom.schemas import FEE_SCHEMA
 from feeloom.sinks.tables import upsert_by_partition
 from feeloom.sources.csv_files import require_not_null
+from feeloom.sources.tables import table_exists
 
 
 def stage_arrivals(
@@ -34,8 +35,10 @@ def stage_arrivals(
     )
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:
-        staged = stage_fees(require_not_null(batch))
-        upsert_by_partition(batch.sparkSession, staged_path, staged)
+        first = not table_exists(batch.sparkSession, staged_path)
+        # Only a first load is written as it comes; later rows are gathered with those that they join.
+        staged = stage_fees(require_not_null(batch), lay_out_by="fee_date" if first else None)
+        upsert_by_partition(batch.sparkSession, staged_path, staged, laid_out=first)
 
     return (
         arriving.writeStream.foreachBatch(upsert)

@@ -28,3 +28,12 @@ def test_keys_are_hashed_after_the_layout(ledger, tmp_path):
     back = read_table(staged.sparkSession, f"{tmp_path}/t", staged.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, stage_fees(ledger(*sent(40))).collect()))
     assert all("zstd" in f for f in back.inputFiles())
+
+
+def test_a_first_load_that_is_laid_out(spark, ledger, tmp_path):
+    staged = stage_fees(ledger(*sent(40)), lay_out_by="fee_date")
+    upsert_by_partition(spark, f"{tmp_path}/t", staged, laid_out=True)
+    assert read_table(spark, f"{tmp_path}/t", staged.schema).count() == 40
+    twice = stage_fees(ledger(fee("c", "a", "2025-01-05", 1.0, "N1"), fee("c", "a", "2025-01-05", 1.0, "N2")), lay_out_by="fee_date")
+    with pytest.raises(AmbiguousUpsert):
+        upsert_by_partition(spark, f"{tmp_path}/u", twice, laid_out=True)
