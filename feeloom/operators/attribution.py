@@ -12,9 +12,13 @@ from feeloom.operators.clients import daily_units, last_touch, window_units
 from feeloom.operators.reports import adviser_ltv, client_values
 from feeloom.operators.skew import ROWS_PER_TASK, heavy_keys, salted_join
 from feeloom.schemas import LTV_WINDOWS, ltv_column, ltv_columns
+from feeloom.session import scratch_dir
+from feeloom.sinks.tables import COMPRESSION
 
 # Tenure is counted in millionths of a day, so that advisers can share one.
 DAY_UNITS = 1_000_000
+# A task's windows, sums and joins take about 1.2 kB for each of these rows.
+SERVED_ROWS_PER_TASK = 250_000
 
 
 def last_touch_ltv(fees: DataFrame, ltv: DataFrame, windows: Sequence[int] = LTV_WINDOWS) -> DataFrame:
@@ -59,9 +63,14 @@ def adviser_tenure(fees: DataFrame) -> DataFrame:
     The advisers of a fee day share the time until the client's next fee day equally; the last fee day counts one day.
     Every pair of client and adviser is counted. A client brings one row per day and adviser to the one exchange by
     client; all the windows and sums over them keep that layout, and spill if a client has very many advisers.
+    These rows are written first: their number tells how many tasks to deal them to, so that what one task sorts does not grow.
     """
-    served = fees.select("client_id", "fee_date", "adviser_id").distinct()
-    served = served.repartition("client_id")
+    spark = fees.sparkSession
+    path = scratch_dir(spark, "served")
+    fees.select("client_id", "fee_date", "adviser_id").distinct().write.option("compression", COMPRESSION).parquet(path)
+    served = spark.read.parquet(path)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-served.count() // SERVED_ROWS_PER_TASK))
+    served = served.repartition(tasks, "client_id")
     day = F.unix_date("fee_date")
     advisers = F.count("*").over(Window.partitionBy("client_id", "fee_date"))
     # From the latest day back, the smallest of the later days is the next one.

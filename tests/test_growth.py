@@ -37,3 +37,12 @@ def test_a_first_load_that_is_laid_out(spark, ledger, tmp_path):
     twice = stage_fees(ledger(fee("c", "a", "2025-01-05", 1.0, "N1"), fee("c", "a", "2025-01-05", 1.0, "N2")), lay_out_by="fee_date")
     with pytest.raises(AmbiguousUpsert):
         upsert_by_partition(spark, f"{tmp_path}/u", twice, laid_out=True)
+
+
+def test_tenure_is_dealt_to_more_tasks_for_more_rows(ledger, monkeypatch):
+    fees = stage_fees(ledger(*sent(84)))
+    before = sorted(map(tuple, attribution.adviser_tenure(fees).collect()))
+    monkeypatch.setattr(attribution, "SERVED_ROWS_PER_TASK", 4)
+    tenure = attribution.adviser_tenure(fees)
+    assert tenure.rdd.getNumPartitions() == 21
+    assert sorted(map(tuple, tenure.collect())) == before
