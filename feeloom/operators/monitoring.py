@@ -16,6 +16,7 @@ from feeloom.functions.money import MONEY_SCALE, exact_mean, to_units, units_to_
 from feeloom.operators.checks import beyond_tolerance, expected_ltv, unique
 from feeloom.operators.staging import drop_incomplete
 from feeloom.schemas import LTV_WINDOWS, ltv_columns
+from feeloom.session import scratch_dir
 
 
 def freshness(
@@ -247,8 +248,13 @@ def compare_builds(
 def trace_to_raw(raw: DataFrame, fees: DataFrame, clients: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
     """Raw rows, copies included, behind the figures of ``clients`` (a frame with client_id), with their fee_id.
 
-    Read ``raw`` with ``_metadata.file_path`` selected to trace on to the file.
+    Read ``raw`` with ``_metadata.file_path`` selected to trace on to the file. ``clients`` is written first: its size is known
+    then, and if they are few, the rows of all others are passed over where they are read.
     """
+    spark = clients.sparkSession
+    path = scratch_dir(spark, "traced-clients")
+    clients.select("client_id").write.parquet(path)
+    clients = spark.read.schema(clients.select("client_id").schema).parquet(path)
     counted = fees.join(clients.select("client_id"), "client_id", "left_semi").select("fee_id")
     # The key holds the client, so only rows of these clients are hashed and dealt out.
     served = drop_incomplete(raw).join(clients.select("client_id"), "client_id", "left_semi")

@@ -46,3 +46,13 @@ def test_tenure_is_dealt_to_more_tasks_for_more_rows(ledger, monkeypatch):
     tenure = attribution.adviser_tenure(fees)
     assert tenure.rdd.getNumPartitions() == 21
     assert sorted(map(tuple, tenure.collect())) == before
+
+
+def test_few_clients_are_traced_without_an_exchange_of_the_fees(spark, ledger):
+    raw = ledger(*sent(40))
+    # Of rows from an RDD the size is not known.
+    clients = spark.createDataFrame(spark.sparkContext.parallelize([("c1",)], 1), "client_id string")
+    traced = monitoring.trace_to_raw(raw, stage_fees(raw), clients)
+    plan = traced._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [client_id" in plan and "SortMergeJoin [client_id" not in plan
+    assert traced.count() == sum(r[0] == "c1" for r in sent(40))
