@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -411,7 +412,8 @@ def quarantine_by_column(spark, sf_dir):
 def header_drift(spark, sf_dir):
     """Files of one month each, whose headers differ by quarter: as declared, a column left out, added, renamed or moved."""
     folder = f"{scratch_dir(spark, 'headers')}/files"
-    ledger = fee_ledger(spark, sf_dir).withColumn("month", F.date_format("fee_date", "yyyy-MM"))
+    # Joined and dealt out once for all layouts.
+    ledger = fee_ledger(spark, sf_dir).withColumn("month", F.date_format("fee_date", "yyyy-MM")).repartition("month").persist(StorageLevel.DISK_ONLY)
     names = FEE_SCHEMA.fieldNames()
     layouts = {
         (1, 2, 3): ledger,
@@ -420,8 +422,11 @@ def header_drift(spark, sf_dir):
         (8, 9): ledger.withColumnRenamed("client_nino", "nino"),
         (10, 11, 12): ledger.select(*names[::-1], "month"),
     }
-    for months, rows in layouts.items():
-        rows.where(F.month("fee_date").isin(*months)).repartition("month").write.mode("append").partitionBy("month").csv(folder, header=True)
+    try:
+        for months, rows in layouts.items():
+            rows.where(F.month("fee_date").isin(*months)).write.mode("append").partitionBy("month").csv(folder, header=True)
+    finally:
+        ledger.unpersist()
     drift = header_contract(spark, f"{folder}/*/*.csv")
     return drift.select(F.regexp_extract("source_file", "month=([0-9-]+)/", 1).alias("month"), "column_name", "drift", "position")
 

@@ -39,6 +39,15 @@ def test_a_first_load_that_is_laid_out(spark, ledger, tmp_path):
         upsert_by_partition(spark, f"{tmp_path}/u", twice, laid_out=True)
 
 
+def test_headers_are_made_from_one_pass(spark, ledger, monkeypatch):
+    seen, rows = spark.sparkContext.accumulator(0), sent(48)
+    counted = spark.sparkContext.parallelize(rows, 2).map(lambda r: (seen.add(1), r)[1])
+    monkeypatch.setattr(queries, "fee_ledger", lambda *_: spark.createDataFrame(counted, ledger().schema))
+    drift = queries.header_drift(spark, "")
+    assert seen.value == len(rows)
+    assert {r["month"] for r in drift.collect()} == {f"2025-{m:02d}" for m in range(4, 13)}
+
+
 def test_tenure_is_dealt_to_more_tasks_for_more_rows(ledger, monkeypatch):
     fees = stage_fees(ledger(*sent(84)))
     before = sorted(map(tuple, attribution.adviser_tenure(fees).collect()))
