@@ -16,7 +16,7 @@ from feeloom.plans.refresh import Warehouse, backfill_staging, build_reports, bu
 from feeloom.schemas import FEE_SCHEMA, STAGED_SCHEMA
 from feeloom.session import scratch_dir
 from feeloom.sinks.by_client import write_by_client
-from feeloom.sinks.tables import overwrite_table, upsert_by_partition
+from feeloom.sinks.tables import overwrite_table, upsert_by_partition, write_by_outcome
 from feeloom.sinks.versions import read_snapshot, restore_snapshot, snapshot
 from feeloom.sources.csv_files import file_freshness, header_contract, quarantine_fees_csv, read_fees_csv_traced, sort_out_fees_csv
 from feeloom.sources.tables import high_water_mark, read_table
@@ -27,6 +27,7 @@ from feeloom.streaming.arrivals import stage_arrivals
 FIRST_LOAD_END = dt.date(1999, 6, 30)
 BACKFILL = (dt.date(1996, 2, 1), dt.date(1996, 4, 30))
 AS_OF = dt.date(2001, 8, 10)
+LINES_PER_FILE = 250_000
 
 
 def _staged(spark: SparkSession, sf_dir: str, variant: str = "raw") -> DataFrame:
@@ -395,12 +396,13 @@ def _faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_by_column(spark, sf_dir):
     root = scratch_dir(spark, "sorted-out")
     header = spark.createDataFrame([(",".join(FEE_SCHEMA.fieldNames()),)], "value string")
-    # Every file begins with the header: 16 files of lines, each below its own.
-    lines = _faulty_lines(spark, sf_dir).withColumn("file", F.pmod(F.xxhash64("value"), F.lit(16)).cast("int"))
-    headers = header.select("value", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("file"))
-    ordered = headers.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1))).repartition("file").sortWithinPartitions("file", "at")
+    # Every file begins with the header: 16 files of lines or more, each below its own. A file is read by one task.
+    files = max(16, -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // LINES_PER_FILE))
+    lines = _faulty_lines(spark, sf_dir).withColumn("file", F.pmod(F.xxhash64("value"), F.lit(files)).cast("int"))
+    headers = header.select("value", F.explode(F.sequence(F.lit(0), F.lit(files - 1))).alias("file"))
+    ordered = headers.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1))).repartition(files, "file").sortWithinPartitions("file", "at")
     ordered.select("value", "file").write.partitionBy("file").text(f"{root}/files")
-    sort_out_fees_csv(spark, f"{root}/files/*/*.txt").write.partitionBy("outcome").parquet(f"{root}/records")
+    write_by_outcome(sort_out_fees_csv(spark, f"{root}/files/*/*.txt"), f"{root}/records")
     found = spark.read.parquet(f"{root}/records").withColumn("reason", F.array_join("reasons", "; "))
     units = F.sum(to_units(F.col("fee_amount")))
     return found.groupBy("outcome", "reason").agg(

@@ -48,6 +48,36 @@ def test_headers_are_made_from_one_pass(spark, ledger, monkeypatch):
     assert {r["month"] for r in drift.collect()} == {f"2025-{m:02d}" for m in range(4, 13)}
 
 
+@pytest.fixture
+def lines(spark, tmp_path):
+    orders = [(k, k % 5, dt.datetime(1996, 1 + k % 12, 1 + k % 27)) for k in range(60)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    items = [(i % 60, i % 4, float(1 + i % 50), 100.0 + i, (i % 9) / 100, "RAN"[i % 3]) for i in range(400)]
+    names = "l_orderkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string"
+    spark.createDataFrame(items, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def test_more_lines_take_more_files(spark, lines, monkeypatch):
+    files, sort_out = [], queries.sort_out_fees_csv
+    monkeypatch.setattr(queries, "sort_out_fees_csv", lambda spark, glob: (files.append(spark.read.text(glob).inputFiles()), sort_out(spark, glob))[1])
+    before = sorted(map(tuple, queries.quarantine_by_column(spark, lines).collect()), key=str)
+    monkeypatch.setattr(queries, "LINES_PER_FILE", 10)
+    assert sorted(map(tuple, queries.quarantine_by_column(spark, lines).collect()), key=str) == before
+    assert [len(f) for f in files] == [16, 40]
+
+
+def test_records_are_not_sorted_by_outcome(spark, tmp_path):
+    setting = spark.conf.get(tables.OPEN_WRITERS)
+    records = spark.range(100, numPartitions=1).select("id", F.when(F.col("id") % 3 == 0, "rejected").otherwise("accepted").alias("outcome"))
+    tables.write_by_outcome(records, f"{tmp_path}/r")
+    back = spark.read.parquet(f"{tmp_path}/r")
+    assert back.where("outcome = 'rejected'").count() == 34 and back.count() == 100
+    # In the order they came in.
+    assert [r["id"] for r in spark.read.parquet(f"{tmp_path}/r/outcome=accepted").collect()] == [i for i in range(100) if i % 3]
+    assert spark.conf.get(tables.OPEN_WRITERS) == setting
+
+
 def test_tenure_is_dealt_to_more_tasks_for_more_rows(ledger, monkeypatch):
     fees = stage_fees(ledger(*sent(84)))
     before = sorted(map(tuple, attribution.adviser_tenure(fees).collect()))
