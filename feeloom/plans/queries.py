@@ -20,7 +20,7 @@ from feeloom.sinks.tables import overwrite_table, upsert_by_partition, write_by_
 from feeloom.sinks.versions import read_snapshot, restore_snapshot, snapshot
 from feeloom.sources.csv_files import file_freshness, header_contract, quarantine_fees_csv, read_fees_csv_traced, sort_out_fees_csv
 from feeloom.sources.tables import high_water_mark, read_table
-from feeloom.sources.testdata import event_ledger, fee_ledger
+from feeloom.sources.testdata import event_ledger, fee_ledger, fee_lines, fees_sent
 from feeloom.streaming.arrivals import stage_arrivals
 
 # The first load of the incremental queries ends here; everything later arrives afterwards.
@@ -41,10 +41,10 @@ def _client_tables(fees: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clients.client_dimension(fees), clients.client_ltv_single_pass(fees)
 
 
-def _build(spark: SparkSession, sf_dir: str, variant: str) -> dict[str, DataFrame]:
+def _build(spark: SparkSession, ledger: DataFrame) -> dict[str, DataFrame]:
     """Every table of one build, each written and read back, as the batch job does: nothing is computed twice."""
     store = Warehouse(scratch_dir(spark, "build"))
-    overwrite_table(fee_ledger(spark, sf_dir, variant), store.path("fees"))
+    overwrite_table(ledger, store.path("fees"))
     overwrite_table(staging.stage_fees(store.read(spark, "fees")), store.path("stg_fees"))
     build_reports(spark, store)
     return store.tables(spark)
@@ -251,11 +251,11 @@ def check_ltv_recompute(spark, sf_dir):
 
 
 def check_summary(spark, sf_dir):
-    return checks.run_checks(_build(spark, sf_dir, "raw"))
+    return checks.run_checks(_build(spark, fee_ledger(spark, sf_dir, "raw")))
 
 
 def check_summary_faulty(spark, sf_dir):
-    return checks.run_checks(_build(spark, sf_dir, "faulty"))
+    return checks.run_checks(_build(spark, fee_ledger(spark, sf_dir, "faulty")))
 
 
 # Other attributions
@@ -300,7 +300,7 @@ def calendar_anomaly(spark, sf_dir):
 
 
 def layer_counts(spark, sf_dir):
-    return monitoring.layer_counts(_build(spark, sf_dir, "raw"))
+    return monitoring.layer_counts(_build(spark, fee_ledger(spark, sf_dir, "raw")))
 
 
 def count_changes(spark, sf_dir):
@@ -344,7 +344,10 @@ def reconcile_ltv(spark, sf_dir):
 
 
 def compare_builds(spark, sf_dir):
-    before, after = _build(spark, sf_dir, "raw"), _build(spark, sf_dir, "faulty")
+    # Both builds are made of the same lines, joined once.
+    path = f"{scratch_dir(spark, 'lines')}/lines"
+    overwrite_table(fee_lines(spark, sf_dir), path)
+    before, after = (_build(spark, fees_sent(read_table(spark, path), variant)) for variant in ("raw", "faulty"))
     money = {"raw_fees": "fee_amount", "stg_fees": "fee_amount", "rpt_client_ltv": "ltv_total"}
     return monitoring.compare_builds(before, after, money)
 

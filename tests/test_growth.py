@@ -95,3 +95,13 @@ def test_few_clients_are_traced_without_an_exchange_of_the_fees(spark, ledger):
     plan = traced._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [client_id" in plan and "SortMergeJoin [client_id" not in plan
     assert traced.count() == sum(r[0] == "c1" for r in sent(40))
+
+
+def test_two_builds_join_their_lines_once(spark, lines, monkeypatch):
+    calls, fee_lines = [], queries.fee_lines
+    monkeypatch.setattr(queries, "fee_lines", lambda *a: (calls.append(a), fee_lines(*a))[1])
+    monkeypatch.setattr(queries, "fee_ledger", None)
+    found = {(r["table"], r["measure"]): (r["before"], r["after"]) for r in queries.compare_builds(spark, lines).collect()}
+    assert len(calls) == 1
+    copies = sum(1 + i % 50 == 50 for i in range(400))
+    assert found["raw_fees", "rows"] == (400 + copies, 400 + copies)
