@@ -300,6 +300,31 @@ def test_hot_seed_is_paired_before_the_exchange(spark):
     assert made.num_rows - on.num_rows <= 2 * len(seeds)
 
 
+def test_texts_between_others_of_all_their_seeds(spark):
+    rng = random.Random(21)
+    words = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
+    rows = []
+    for k in range(30):  # two near copies, and six texts that hold all their pieces in other orders, too far apart
+        pieces = [words(12) for _ in range(6)]
+        near = [[*words(15), *(w for p in pieces for w in [*p, f"x{k}y{j}"]), *words(15)] for j in (0, 1)]
+        others = [[w for p in rng.sample(pieces, 6) for w in [*p, *words(14)]] for _ in range(6)]
+        rows += [(100 * k + i, " ".join(text), "a") for i, text in enumerate([*near, *others])]
+    got = {r["doc_id"]: r["n_passages"] for r in chaining.fuzzy_passages(documents(spark, rows).repartition(4)).collect()}
+    missed = [i for i, _, _ in rows if i % 100 < 2 and not got[i]]
+    assert not missed
+    assert not any(got[i] for i, _, _ in rows if i % 100 >= 2)
+
+
+def test_every_pair_of_a_key():
+    rng = np.random.default_rng(23)
+    seeds = np.zeros(60, chaining.SEED)
+    seeds["key"], seeds["rid"], seeds["pos"] = rng.integers(0, 12, 60), rng.integers(-4, 4, 60), rng.permutation(60)
+    seeds, _, _ = chaining._by_key(seeds)
+    got = [(m["rid"], m["pos"], m["partner"], m["ppos"]) for made in chaining._every_pair(seeds) for m in made]
+    want = {(a["rid"], a["pos"], b["rid"], b["pos"]) for a in seeds for b in seeds if a["key"] == b["key"] and a["rid"] > b["rid"]}
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_two_passages_around_a_differing_middle(spark):
     rng = random.Random(7)
     words = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
