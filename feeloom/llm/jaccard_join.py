@@ -17,6 +17,12 @@ SHINGLE_WORDS = 4
 PERCENT = 85
 BLOCK_DOCS = 1024
 BLOCK_COLUMNS = 4096
+# Small sets have as many spare blocks as they may have differences, up to this; large ones a third as many.
+SPARE_BLOCKS = 24
+# The low bits of a key tell how many of the most frequent keys of a set are passed over, up to this.
+SPARE_MASK = 0xFFF
+# A key that occurs so often or more counts as one that occurs so often.
+MOST_OFTEN = 1 << 16
 
 
 def sorted_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -54,10 +60,17 @@ def class_top(c: np.ndarray, percent: int) -> np.ndarray:
     return np.array(bounds)[c + 1] - 1
 
 
+def spare_blocks(apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many of the emptiest blocks give no key, and how many of the most frequent keys are passed over; linked sets agree in more blocks than both."""
+    spare = np.maximum(apart // 3, np.minimum(apart, SPARE_BLOCKS))
+    often = np.minimum(spare * 2 // 3, SPARE_MASK)
+    return spare - often, often
+
+
 def block_keys(firsts: np.ndarray, values: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key): signatures of column blocks. Two linked rows share at least one key.
+    """(row, key): signatures of column blocks. Two linked rows share more keys of one class than their low bits tell.
 
-    The columns (shingle hashes) fall into more blocks than two linked sets can have differences, so in some block the
+    The columns (shingle hashes) fall into more blocks than two linked sets can have differences, so in some blocks the
     sets are equal. A set takes part as the smaller one of its own size class and as the larger one of the class below.
     """
     counts = np.diff(firsts)
@@ -73,8 +86,8 @@ def block_keys(firsts: np.ndarray, values: np.ndarray, percent: int) -> tuple[np
         if len(some) == 0:
             continue
         apart = most_differences(class_top(c, percent), percent)
-        spare = np.where(apart > 0, np.maximum(1, apart // 3), 0)
-        blocks = apart + 1 + spare
+        spare, often = spare_blocks(apart)
+        blocks = apart + 1 + spare + often
         starts = np.cumsum(blocks) - blocks
         total = int(blocks.sum())
         local = np.full(len(counts), -1)
@@ -90,8 +103,8 @@ def block_keys(firsts: np.ndarray, values: np.ndarray, percent: int) -> tuple[np
         slot_row = np.repeat(np.arange(len(some)), blocks)
         nth = np.arange(total) - starts[slot_row]
         empty = np.bincount(slot_row[sizes == 0], minlength=len(some))
-        # Two linked sets agree in more blocks than are spare. The fullest of these is not among the spare ones that are
-        # emptiest in either set, so those give no key; an empty block does only where all equal ones might be empty.
+        # Two linked sets agree in more blocks than are spare. The fullest of these are not among the spare ones that are
+        # emptiest in either set, so those give no key; an empty block does only where equal ones beyond them might be empty.
         ranked = np.lexsort((nth, sizes, slot_row))
         place = np.empty(total, np.int64)
         place[ranked] = np.arange(total) - starts[slot_row[ranked]]
@@ -99,7 +112,8 @@ def block_keys(firsts: np.ndarray, values: np.ndarray, percent: int) -> tuple[np
         key = mix64(sums + mix64(sizes.astype(np.uint64) * np.uint64(2654435761) + nth.astype(np.uint64)))
         key = mix64(key + mix64(c[slot_row].astype(np.uint64) + np.uint64(77)))
         out_rows.append(some[slot_row[wanted]])
-        out_keys.append(key[wanted])
+        mask = np.uint64(SPARE_MASK)
+        out_keys.append((key[wanted] & ~mask) | often[slot_row[wanted]].astype(np.uint64))
     return np.concatenate(out_rows), np.concatenate(out_keys)
 
 
@@ -152,6 +166,49 @@ def _keys(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"key bigint, doc_id {kind}")
 
 
+def _rare(keys: DataFrame) -> DataFrame:
+    """(key, doc_id) of the keys that occur again, without the most frequent ones of each document.
+
+    A key's low bits tell how many keys with the same low bits a document passes over. All documents rank keys alike, so
+    of the keys that two linked ones share no more than that are lost, and one at least is left. What documents share
+    without being near copies, such as a common passage, mostly makes no candidates.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(rows: pa.RecordBatch, often: np.ndarray) -> pa.RecordBatch:
+            again = often > 1
+            kept = rows.filter(pa.array(again))
+            return pa.RecordBatch.from_arrays([*kept.columns, pa.array(often[again], pa.int32())], names)
+
+        held, frequent = None, None  # rows of the last key so far; a key that was seen MOST_OFTEN times
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if held is not None:
+                batch = pa.concat_batches([held, batch])
+            key = batch.column("key").to_numpy()
+            begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            sizes = np.diff(np.append(begins, len(key)))
+            often = np.minimum(sizes, MOST_OFTEN)
+            if key[0] == frequent:
+                often[0] = MOST_OFTEN
+            last = len(key) if often[-1] == MOST_OFTEN else int(begins[-1])
+            frequent = key[-1] if last == len(key) else None
+            held = batch.slice(last) if last < len(key) else None
+            yield counted(batch.slice(0, last), np.repeat(often, sizes)[:last])
+        if held is not None:
+            yield counted(held, np.full(held.num_rows, held.num_rows))
+
+    names = [*keys.columns, "often"]
+    kind = keys.schema["doc_id"].dataType.simpleString()
+    dealt = keys.repartition(shuffle_partitions(keys.sparkSession), "key").sortWithinPartitions("key")
+    shared = materialize(dealt.mapInArrow(run, f"key bigint, doc_id {kind}, often int"), "jaccard-shared")
+    shared = shared.withColumn("spare", F.col("key").bitwiseAND(SPARE_MASK))
+    # A document that comes twice in a key ranks it once.
+    order = Window.partitionBy("doc_id", "spare").orderBy(F.desc("often"), "key")
+    return shared.withColumn("nth", F.dense_rank().over(order)).where("nth > spare").select("key", "doc_id")
+
+
 def _first_of_run(keys: DataFrame) -> DataFrame:
     """(a, b): each further document of a key with the first one. Sorted partitions are streamed, no group is held."""
 
@@ -246,7 +303,7 @@ def jaccard_links(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PER
     reps = sets.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     named = sets.join(reps, ["n_shingles", "s1", "s2"], "left").select("doc_id", "n_shingles", "rep")
     named = materialize(named, "jaccard-classes")
-    hubs = materialize(_first_of_run(_keys(docs, size, percent)).where("a != b").distinct(), "jaccard-candidates")
+    hubs = materialize(_first_of_run(_rare(_keys(docs, size, percent))).where("a != b").distinct(), "jaccard-candidates")
     rep_of = named.where("rep is not null").select("doc_id", "rep").distinct()
     between = hubs.join(rep_of.select(F.col("doc_id").alias("a"), F.col("rep").alias("ra")), "a").join(
         rep_of.select(F.col("doc_id").alias("b"), F.col("rep").alias("rb")), "b"

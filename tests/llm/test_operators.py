@@ -556,6 +556,35 @@ def test_jaccard_links_of_each_text_of_an_id(spark):
     assert got == {(i, i) for i in range(20)} | {(100 + 3 * i + k, i) for i in range(20) for k in range(3)}
 
 
+def test_common_passages_do_not_chain_documents_into_one_candidate_group(spark, monkeypatch):
+    rng = random.Random(12)
+    passages = [[f"p{k}x{j}" for j in range(14)] for k in range(20)]
+    rows = []
+    for i in range(400):  # two common passages and words of its own; each tenth has a near copy
+        own = [f"w{i}x{j}" for j in range(24)]
+        words = [*rng.choice(passages), *own, *rng.choice(passages)]
+        rows.append((i, " ".join(words), "a"))
+        if i % 10 == 0:
+            rows.append((1000 + i, " ".join(["else", *words[1:]]), "a"))
+    made, write = {}, jaccard_join.materialize
+    monkeypatch.setattr(jaccard_join, "materialize", lambda df, purpose: made.setdefault(purpose, write(df, purpose)))
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(documents(spark, rows), 5, 80).collect()}
+    assert got == {(i, i % 1000) for i, _, _ in rows}
+    pairs = [tuple(r) for r in made["jaccard-candidates"].collect()]
+    assert {(a, b) for a, b in pairs if a % 1000 == b % 1000} == {(1000 + i, i) for i in range(0, 400, 10)}
+    assert len(pairs) < 100
+
+
+def test_keys_of_linked_documents_are_ranked_alike(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MOST_OFTEN", 50)
+    two, none = 2, 0  # so many of the most frequent keys are passed over
+    keys = [(key << 12 | two, i) for key, times in ((1, 120), (2, 49), (3, 7), (4, 2), (5, 1)) for i in range(times)]
+    keys += [(key << 12 | none, i) for key, times in ((6, 90), (7, 1)) for i in range(times)]
+    rows = spark.createDataFrame([*keys, (4 << 12 | two, 0)], "key long, doc_id long")
+    got = Counter((r["key"] >> 12, r["doc_id"]) for r in jaccard_join._rare(rows).collect())
+    assert got == {**{(6, i): 1 for i in range(90)}, **{(3, i): 1 for i in range(7)}, (4, 0): 2, (4, 1): 1}
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(links).collect()}
