@@ -315,6 +315,31 @@ def test_texts_between_others_of_all_their_seeds(spark):
     assert not any(got[i] for i, _, _ in rows if i % 100 >= 2)
 
 
+@pytest.mark.parametrize("block", [8, 4096])
+def test_texts_whose_seeds_are_all_frequent(spark, monkeypatch, block):
+    monkeypatch.setattr(chaining, "PAIR_BLOCK", block)
+    rng = random.Random(31)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, copies = [], []
+    for g in range(6):
+        lines = [words(12) for _ in range(6)]
+        for line in lines:  # every line is in 40 other texts, which share no passage
+            rows += [(len(rows) + k, " ".join([*words(30), *line, *words(30)]), "a") for k in range(40)]
+        for edited in (False, True):
+            copies.append(len(rows))
+            rows.append((len(rows), " ".join([*words(20), *(w for line in lines for w in ([f"x{g}", *line[1:]] if edited else line)), *words(20)]), "a"))
+    got = {r["doc_id"]: r["n_passages"] for r in chaining.fuzzy_passages(documents(spark, rows).repartition(4)).collect()}
+    assert {i for i, n in got.items() if n} == set(copies)
+
+
+def test_a_word_repeated_more_often_in_one_of_two_texts(spark):
+    rng = random.Random(33)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = [(i, " ".join([*words(30), *["na"] * n, *words(30)]), "a") for i, n in ((1, 42), (2, 90))]
+    got = {r["doc_id"]: r["n_repeated_words"] for r in chaining.fuzzy_passages(documents(spark, rows)).collect()}
+    assert got[1] == 42 and got[2] >= 50
+
+
 def test_every_pair_of_a_key():
     rng = np.random.default_rng(23)
     seeds = np.zeros(60, chaining.SEED)
